@@ -23,18 +23,21 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder, so that lost executors don't bring its history back.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: spark.checkpoint.dir; where unset, a temporary one in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="lendloom-")
+
 
-    The folder is the session's spark.checkpoint.dir. Where that is unset, a temporary one is made in local mode only.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder, so that lost executors don't bring its history back."""
+    context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lendloom-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -8,7 +8,6 @@ there without changing its tokens. Other texts are cut into pre-tokens by the pa
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -25,8 +24,8 @@ from lendloom.llm.common import text_bytes, values_of
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Characters outside these blocks may be letters to one Unicode version only; the library itself cuts such texts.
 UNSETTLED = regex.compile(r"[^\x00-ԯ -⁯℀-⯿　-鿿가-힣＀-￯\U0001F300-\U0001FAFF]")
-#: Entries of a worker's cache of chunks; a full cache is emptied, which bounds memory and changes no result.
-CACHE_SIZE = 300_000
+#: Entries of a worker's cache of chunks; a full cache keeps those of the block at hand, which changes no result.
+CACHE_SIZE = 500_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -36,8 +35,25 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def slots_of(keys: np.ndarray, factor: int, bits: int = 18) -> np.ndarray:
+    return (keys.view(np.uint64) * np.uint64(factor)) >> np.uint64(64 - bits)
+
+
+def hash_tables(keys: np.ndarray, bits: int = 18) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(factor, keys by slot, their positions by slot): each key is in the first table in which its slot was free."""
+    tables, left, factor = [], np.arange(len(keys)), 0x9E3779B97F4A7C15
+    while len(left):
+        slot_key, slot_value = np.full(1 << bits, -1, np.int64), np.full(1 << bits, NO_MERGE)
+        slots, first = np.unique(slots_of(keys[left], factor), return_index=True)
+        slot_key[slots], slot_value[slots] = keys[left[first]], left[first]
+        tables.append((factor, slot_key, slot_value))
+        left = np.delete(left, first)
+        factor = factor * 6364136223846793005 % (1 << 64) | 1
+    return tables
+
+
 class Vocabulary:
-    """Merges of a tokenizers file as sorted arrays: pair key, its rank, and the id of the merged symbol."""
+    """Merges of a tokenizers file as arrays: the id of each rank's merged symbol, and hash tables from a pair to its rank."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -52,16 +68,17 @@ class Vocabulary:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
         left = np.array([ids[a] for a, _ in pairs], np.int64)
         right = np.array([ids[b] for _, b in pairs], np.int64)
-        key = left << 32 | right
-        order = np.argsort(key, kind="stable")
-        self.key, self.rank = key[order], order.astype(np.int64)
         self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)
+        self.tables = hash_tables(left << 32 | right)
 
     def pair_ranks(self, symbols: np.ndarray) -> np.ndarray:
         """Rank of each neighbouring pair; a huge value where it doesn't merge."""
         key = symbols[:-1] << 32 | symbols[1:]
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, self.rank[at], NO_MERGE)
+        ranks = np.full(len(key), NO_MERGE)
+        for factor, keys, values in self.tables:
+            at = slots_of(key, factor)
+            np.copyto(ranks, values[at], where=keys[at] == key)
+        return ranks
 
     def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(number of symbols of each piece, all final symbols in order), merging every piece's lowest-ranked pair at once.
@@ -159,7 +176,7 @@ class ChunkCache:
     def learn(self, chunks: set[str]) -> None:
         new = chunks.difference(self.known)
         if len(self.known) + len(new) > self.size:
-            self.known, new = {}, chunks
+            self.known = {c: self.known[c] for c in chunks.difference(new)}
         clean = [c for c in new if self.alone(c)]
         self.known.update(dict.fromkeys(new))
         self.known.update(zip(clean, self.work([self.lead + c for c in clean]), strict=True))
@@ -169,7 +186,7 @@ class ChunkedEncoder:
     """Applies `work` (a list of texts to a list of values that add up) to whole texts, chunk by chunk.
 
     special: the value of a special string. add: joins the values of a text's chunks. CACHE_SIZE bounds the entries kept
-    besides those of one call; a full cache is emptied, which changes no result.
+    besides those of one call.
     """
 
     def __init__(self, words: Vocabulary, work: Callable[[list[str]], list], special: Callable[[str], object], add: Callable[[list], object], size: int = CACHE_SIZE):
@@ -198,13 +215,45 @@ class ChunkedEncoder:
         return out
 
 
+def cut_all(texts: list[str], words: Vocabulary) -> tuple[list[str], np.ndarray]:
+    """(all pre-tokens of the texts in order, number of them in each text).
+
+    Texts that are a space and a chunk without spaces are cut in one go: then each pre-token that begins with a space
+    begins a text.
+    """
+    joined = "".join(texts)
+    if len(texts) > 1 and joined.count(" ") == len(texts) and all(t[0] == " " for t in texts if t) and not UNSETTLED.search(joined):
+        pieces = PATTERN.findall(joined)
+        begins = np.fromiter((p[0] == " " for p in pieces), bool, len(pieces))
+        if begins.sum() == len(texts):
+            return pieces, np.diff(np.r_[np.flatnonzero(begins), len(pieces)])
+    cut = [pre_tokens(t, words) for t in texts]
+    return [p for pieces in cut for p in pieces], np.fromiter(map(len, cut), np.int64, len(cut))
+
+
 def merged_counts(texts: list[str], words: Vocabulary) -> list[int]:
     """Number of tokens of each text, from all their distinct pre-tokens merged together."""
-    cut = [pre_tokens(t, words) for t in texts]
-    distinct = list({p for pieces in cut for p in pieces})
+    pieces, held = cut_all(texts, words)
+    distinct = dict.fromkeys(pieces)
     counts, _ = words.merge_all([p.encode() for p in distinct])
     size = dict(zip(distinct, counts.tolist(), strict=True))
-    return [sum(map(size.__getitem__, pieces)) for pieces in cut]
+    total = np.r_[0, np.cumsum(np.fromiter(map(size.__getitem__, pieces), np.int64, len(pieces)))]
+    ends = np.cumsum(held)
+    return (total[ends] - total[ends - held]).tolist()
+
+
+def merged_ids(texts: list[str], words: Vocabulary) -> list[bytes]:
+    """Token ids of each text as little-endian unsigned 32-bit numbers, from all their distinct pre-tokens merged together."""
+    pieces, held = cut_all(texts, words)
+    distinct = dict.fromkeys(pieces)
+    counts, ids = words.merge_all([p.encode() for p in distinct])
+    flat, ends = ids.astype("<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
+    own = {p: flat[a:b] for p, a, b in zip(distinct, [0, *ends], ends, strict=False)}
+    out, at = [], 0
+    for n in held.tolist():
+        out.append(own[pieces[at]] if n == 1 else b"".join(map(own.__getitem__, pieces[at : at + n])))
+        at += n
+    return out
 
 
 @lru_cache(maxsize=4)
@@ -215,14 +264,9 @@ def token_counter(path: str) -> ChunkedEncoder:
 
 @lru_cache(maxsize=4)
 def token_encoder(path: str) -> ChunkedEncoder:
-    """Texts to their ids as little-endian unsigned 32-bit numbers; the library itself encodes each chunk it hasn't seen."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
+    """Texts to their ids as little-endian unsigned 32-bit numbers: those that the tokenizers library gives."""
     words = vocabulary(path)
-
-    def work(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return ChunkedEncoder(words, work, lambda s: np.array([words.special_ids[s]], "<u4").tobytes(), b"".join)
+    return ChunkedEncoder(words, lambda texts: merged_ids(texts, words), lambda s: np.array([words.special_ids[s]], "<u4").tobytes(), b"".join)
 
 
 def in_blocks(texts: Iterable[bytes], most: int = 4 << 20) -> Iterator[list[bytes]]:
