@@ -168,6 +168,7 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
     groups = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     moved = joined.join(groups, "component").select("fp", "component_id")
     of_class = classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    of_class = cut_lineage(of_class)  # so that the join below is one that Spark can split where a fingerprint has many rows
     return cut_lineage(rows.join(of_class, "fp").select(id, "fp", "component_id"))
 
 
