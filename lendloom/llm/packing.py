@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lendloom.llm.common import text_bytes, values_of
-from lendloom.llm.tokens import in_blocks, token_encoder
+from lendloom.llm.tokens import token_encoder
 
 PIECE = "{id} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Bits of a sequence id below the partition's number.
@@ -107,12 +107,10 @@ def close_windows(rest: list[list], window: int) -> Iterator[list]:
 
 def documents_as_ids(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[object, np.ndarray]]:
     """(id, token ids with end_id after them) of each row (id, text as bytes)."""
-    encoder, end = token_encoder(path), np.array([end_id], "<u4").tobytes()
+    encode, end = token_encoder(path), np.array([end_id], "<u4")
     for batch in batches:
-        ids = iter(values_of(batch.column(0)))
-        for block in in_blocks(values_of(batch.column(1))):
-            for encoded in encoder(block):
-                yield next(ids), np.frombuffer(encoded + end, "<u4")
+        for id, text in zip(values_of(batch.column(0)), values_of(batch.column(1)), strict=True):
+            yield id, np.concatenate([encode(text), end])
 
 
 def _pieces(windows: Iterator[list], first: int) -> Iterator[tuple]:

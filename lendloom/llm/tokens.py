@@ -1,6 +1,6 @@
-"""Byte-level BPE: token counts by rank-synchronous array merging, and cached token ids.
+"""Byte-level BPE: token counts by rank-synchronous array merging, and token ids.
 
-Both work on chunks: what lies between single spaces. In a byte-level BPE pattern a token never continues from a
+Counting works on chunks: what lies between single spaces. In a byte-level BPE pattern a token never continues from a
 non-space character into white space, so a text whose single spaces each stand between two non-space characters splits
 there without changing its tokens. Other texts are cut into pre-tokens by the pattern as a whole.
 """
@@ -14,6 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -24,6 +25,8 @@ from lendloom.llm.common import text_bytes, values_of
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Characters outside these blocks may be letters to one Unicode version only; the library itself cuts such texts.
 UNSETTLED = regex.compile(r"[^\x00-ԯ -⁯℀-⯿　-鿿가-힣＀-￯\U0001F300-\U0001FAFF]")
+#: Marks that most chunks end in, if in any.
+MARKS = ".,;:!?"
 #: Entries of a worker's cache of chunks; a full cache keeps those of the block at hand, which changes no result.
 CACHE_SIZE = 500_000
 
@@ -71,13 +74,15 @@ class Vocabulary:
         self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)
         self.tables = hash_tables(left << 32 | right)
 
-    def pair_ranks(self, symbols: np.ndarray) -> np.ndarray:
-        """Rank of each neighbouring pair; a huge value where it doesn't merge."""
-        key = symbols[:-1] << 32 | symbols[1:]
-        ranks = np.full(len(key), NO_MERGE)
+    def ranks_within(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rank of the pair that begins at each position in `at`; a huge value where it doesn't merge or ends its piece."""
+        after = np.minimum(at + 1, len(symbols) - 1)
+        key = symbols[at] << 32 | symbols[after]
+        ranks = np.full(len(at), NO_MERGE)
         for factor, keys, values in self.tables:
-            at = slots_of(key, factor)
-            np.copyto(ranks, values[at], where=keys[at] == key)
+            slot = slots_of(key, factor)
+            np.copyto(ranks, values[slot], where=keys[slot] == key)
+        ranks[(owner[at] != owner[after]) | (after == at)] = NO_MERGE
         return ranks
 
     def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,49 +93,39 @@ class Vocabulary:
         """
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         symbols = self.byte_id[np.frombuffer(b"".join(pieces), np.uint8)]
+        owner = np.repeat(np.arange(len(pieces)), lengths)
+        rank = self.ranks_within(symbols, owner, np.arange(len(symbols)))
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        active = np.arange(len(pieces))
-        counts = np.zeros(len(pieces), np.int64)
-        while len(active):
-            owner = np.repeat(np.arange(len(active)), lengths)
-            starts = np.cumsum(lengths) - lengths
-            rank = np.full(len(symbols), NO_MERGE)
-            if len(symbols) > 1:
-                rank[:-1] = np.where(owner[:-1] == owner[1:], self.pair_ranks(symbols), NO_MERGE)
-            full = lengths > 0
-            lowest = np.full(len(active), NO_MERGE)
-            if full.any():
-                lowest[full] = np.minimum.reduceat(rank, starts[full])
+        while len(symbols):
+            begins = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            lowest = np.minimum.reduceat(rank, begins)
+            lowest = np.repeat(lowest, np.diff(np.r_[begins, len(symbols)]))
             goes_on = lowest < NO_MERGE
             if not goes_on.all():
-                ended = ~goes_on
-                counts[active[ended]] = lengths[ended]
-                mask = ended[owner]
-                done.append((np.repeat(active[ended], lengths[ended]), symbols[mask]))
-                keep = ~mask
-                symbols, rank, owner = symbols[keep], rank[keep], owner[keep]
-                lowest_each = lowest[owner]
-                active, lengths = active[goes_on], lengths[goes_on]
-            else:
-                lowest_each = lowest[owner]
-            if not len(active):
+                done.append((owner[~goes_on], symbols[~goes_on]))
+                symbols, rank, owner, lowest = symbols[goes_on], rank[goes_on], owner[goes_on], lowest[goes_on]
+            if not len(symbols):
                 break
-            hit = (rank == lowest_each) & (rank < NO_MERGE)
-            at = np.flatnonzero(hit)
+            at = np.flatnonzero(rank == lowest)
             # in a run of overlapping pairs (as in "aaaa") the first, third, ... merge
-            begins = np.r_[True, np.diff(at) != 1]
-            run_start = np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
+            first = np.r_[True, np.diff(at) != 1]
+            run_start = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
             at = at[(np.arange(len(at)) - run_start) % 2 == 0]
             symbols[at] = self.merged[rank[at]]
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
-            old = owner
-            symbols = symbols[keep]
-            new_owner = np.unique(old, return_inverse=True)[1]
-            lengths = np.bincount(new_owner[keep], minlength=len(active)).astype(np.int64)
+            symbols, rank, owner = symbols[keep], rank[keep], owner[keep]
+            # only the pairs that a merged symbol is part of have a new rank
+            at -= np.arange(len(at))
+            changed = np.zeros(len(symbols), bool)
+            changed[at] = changed[at[at > 0] - 1] = True
+            changed = np.flatnonzero(changed)
+            rank[changed] = self.ranks_within(symbols, owner, changed)
+        counts = np.zeros(len(pieces), np.int64)
         if not done:
             return counts, np.zeros(0, np.int64)
         who, what = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
+        counts += np.bincount(who, minlength=len(pieces))
         return counts, what[np.argsort(who, kind="stable")]
 
 
@@ -164,57 +159,72 @@ def around_special(text: str, words: Vocabulary) -> Iterator[tuple[str, bool]]:
 class ChunkCache:
     """Values of chunks by the chunk's text; unseen ones are worked out together. A chunk that can't stand alone has None."""
 
-    def __init__(self, work: Callable[[list[str]], list], lead: str, size: int):
-        self.work, self.lead, self.size, self.known = work, lead, size, {}
-
-    def alone(self, chunk: str) -> bool:
-        """Whether single spaces around the chunk stand next to characters that aren't white space."""
-        if not self.lead:  # the start of a text
-            return not chunk or not chunk[-1].isspace()
-        return bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
+    def __init__(self, work: Callable[[list[str]], list], add: Callable[[list], object], lead: str, size: int):
+        self.work, self.add, self.lead, self.size, self.known = work, add, lead, size, {}
+        self.marks = dict(zip(MARKS, work(list(MARKS)), strict=True))
 
     def learn(self, chunks: set[str]) -> None:
         new = chunks.difference(self.known)
         if len(self.known) + len(new) > self.size:
             self.known = {c: self.known[c] for c in chunks.difference(new)}
-        clean = [c for c in new if self.alone(c)]
-        self.known.update(dict.fromkeys(new))
-        self.known.update(zip(clean, self.work([self.lead + c for c in clean]), strict=True))
+        # single spaces around a chunk must stand next to characters that aren't white space; a text may begin with any
+        clean = [c for c in new if c and c.strip() == c] if self.lead else [c for c in new if c.rstrip() == c]
+        if len(clean) < len(new):
+            self.known.update(dict.fromkeys(new.difference(clean)))
+        # a mark after a letter at the end of a chunk is a pre-token of its own
+        marked = [c for c in clean if c[-1:] in self.marks and c[-2:-1].isalpha()]
+        own = list({c[:-1] for c in marked}.union(clean).difference(marked).difference(self.known))
+        self.known.update(zip(own, self.work([self.lead + c for c in own]), strict=True))
+        self.known.update((c, self.add((self.known[c[:-1]], self.marks[c[-1]]))) for c in marked)
 
 
 class ChunkedEncoder:
     """Applies `work` (a list of texts to a list of values that add up) to whole texts, chunk by chunk.
 
-    special: the value of a special string. add: joins the values of a text's chunks. CACHE_SIZE bounds the entries kept
-    besides those of one call.
+    A line break between characters that aren't white space is a pre-token of its own, so each line is cut as a text of its
+    own. special: the value of a special string. add: joins values. CACHE_SIZE bounds the entries kept besides those of one
+    call.
     """
 
-    def __init__(self, words: Vocabulary, work: Callable[[list[str]], list], special: Callable[[str], object], add: Callable[[list], object], size: int = CACHE_SIZE):
+    def __init__(self, words: Vocabulary, work: Callable[[list[str]], list], special: Callable[[str], object], add: Callable[[Iterable], object], size: int = CACHE_SIZE):
         self.words, self.work, self.special, self.add = words, work, special, add
-        self.first, self.rest = ChunkCache(work, "", size // 8), ChunkCache(work, " ", size)
+        self.first, self.rest = ChunkCache(work, add, "", size // 4), ChunkCache(work, add, " ", size)
+        self.line_break = work(["\n"])[0]
 
     def __call__(self, texts: list[bytes]) -> list:
         parts = [list(around_special(t.decode("utf-8", "replace"), self.words)) for t in texts]
-        split = [[None if special else part.split(" ") for part, special in row] for row in parts]
-        plain = [chunks for row in split for chunks in row if chunks and len(chunks) > 1]
-        self.first.learn({chunks[0] for chunks in plain})
-        self.rest.learn({c for chunks in plain for c in chunks[1:]})
+        split = [[None if special else cut_lines(part) for part, special in row] for row in parts]
+        plain = [line for row in split for lines in row if lines for line in lines]
+        self.first.learn({line[0] for line in plain})
+        self.rest.learn(set().union(*(line[1:] for line in plain)))
         first, rest = self.first.known, self.rest.known
         out = []
         for row, cut in zip(parts, split, strict=True):
             values = []
-            for (part, special), chunks in zip(row, cut, strict=True):
+            for (part, special), lines in zip(row, cut, strict=True):
                 if special:
                     values.append(self.special(part))
-                elif len(chunks) == 1:
+                elif not lines:
                     values += self.work([part])
                 else:
-                    own = [first[chunks[0]], *map(rest.__getitem__, chunks[1:])]
-                    values += self.work([part]) if None in own else own
+                    own = []
+                    for line in lines:
+                        own.append(self.line_break)
+                        own.append(first[line[0]])
+                        own += map(rest.__getitem__, line[1:])
+                    values += self.work([part]) if None in own else own[1:]
             out.append(self.add(values))
         return out
 
 
+def cut_lines(text: str) -> list[list[str]]:
+    """Chunks of each line; no lines if one is empty or white space stands at its edge."""
+    lines = text.split("\n")
+    if len(lines) == 1:
+        return [text.split(" ")]
+    return [line.split(" ") for line in lines] if all(line and line.strip() == line for line in lines) else []
+
+
 def cut_all(texts: list[str], words: Vocabulary) -> tuple[list[str], np.ndarray]:
     """(all pre-tokens of the texts in order, number of them in each text).
 
@@ -242,20 +252,6 @@ def merged_counts(texts: list[str], words: Vocabulary) -> list[int]:
     return (total[ends] - total[ends - held]).tolist()
 
 
-def merged_ids(texts: list[str], words: Vocabulary) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit numbers, from all their distinct pre-tokens merged together."""
-    pieces, held = cut_all(texts, words)
-    distinct = dict.fromkeys(pieces)
-    counts, ids = words.merge_all([p.encode() for p in distinct])
-    flat, ends = ids.astype("<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
-    own = {p: flat[a:b] for p, a, b in zip(distinct, [0, *ends], ends, strict=False)}
-    out, at = [], 0
-    for n in held.tolist():
-        out.append(own[pieces[at]] if n == 1 else b"".join(map(own.__getitem__, pieces[at : at + n])))
-        at += n
-    return out
-
-
 @lru_cache(maxsize=4)
 def token_counter(path: str) -> ChunkedEncoder:
     words = vocabulary(path)
@@ -263,10 +259,30 @@ def token_counter(path: str) -> ChunkedEncoder:
 
 
 @lru_cache(maxsize=4)
-def token_encoder(path: str) -> ChunkedEncoder:
-    """Texts to their ids as little-endian unsigned 32-bit numbers: those that the tokenizers library gives."""
+def token_encoder(path: str) -> Callable[[bytes], np.ndarray]:
+    """A text to its ids as the tokenizers library gives them for this file.
+
+    tiktoken finds the same ids several times as fast where a symbol's id rises with its merge's rank, as in this kind of
+    file; other files, and texts whose characters may be letters to one library only, go to the library itself.
+    """
     words = vocabulary(path)
-    return ChunkedEncoder(words, lambda texts: merged_ids(texts, words), lambda s: np.array([words.special_ids[s]], "<u4").tobytes(), b"".join)
+    ids, of_character = words.tokenizer.get_vocab(with_added_tokens=False), byte_characters()
+    ranks = {bytes(map(of_character.__getitem__, token)): i for token, i in ids.items() if all(c in of_character for c in token) and i not in words.special_ids.values()}
+    in_order = bool((np.diff(words.merged) > 0).all()) and words.byte_id.max() < words.merged.min()
+    fast = tiktoken.Encoding("own", pat_str=PATTERN.pattern, mergeable_ranks=ranks, special_tokens={}) if in_order else None
+
+    def encode(raw: bytes) -> np.ndarray:
+        text, out = raw.decode("utf-8", "replace"), []
+        for part, special in around_special(text, words):
+            if special:
+                out.append(words.special_ids[part])
+            elif fast is None or not part.isascii() and UNSETTLED.search(part):
+                out += words.tokenizer.encode(part, add_special_tokens=False).ids
+            else:
+                out += fast.encode_ordinary(part)
+        return np.array(out, "<u4")
+
+    return encode
 
 
 def in_blocks(texts: Iterable[bytes], most: int = 4 << 20) -> Iterator[list[bytes]]:
