@@ -41,6 +41,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, lengthened until df has no column called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples, a few at a time, so that long texts aren't all turned into Python objects at once."""
     for batch in batches:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import WORD, cut_lineage, text_bytes
+from lendloom.llm.common import WORD, cut_lineage, free_name, text_bytes
 
 #: Weights of the sources in order, again and again.
 WEIGHTS = (3, 1, 2)
@@ -108,8 +108,9 @@ def take_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: st
     The texts meet the narrow list of what is taken in one shuffle, by the hash of id and text; rows equal in both are
     numbered on either side, so that each meets one.
     """
-    number = F.row_number().over(W.partitionBy("_h").orderBy("_h")).alias("_k")
-    times = _mixed(docs, id, text, source, SEED).where("taken > 0").select(F.col("h").alias("_h"), F.expr("int(taken div size)").alias("_times"))
-    times = times.select("_h", "_times", number)
-    own = docs.withColumn("_h", shuffle_key(id, text, SEED)).select("*", number)
-    return own.join(times, ["_h", "_k"]).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    h, k, times, copy = (free_name(docs, n) for n in ("_h", "_k", "_times", "_copy"))
+    number = F.row_number().over(W.partitionBy(h).orderBy(h)).alias(k)
+    taken = _mixed(docs, id, text, source, SEED).where("taken > 0").select(F.col("h").alias(h), F.expr("int(taken div size)").alias(times))
+    own = docs.withColumn(h, shuffle_key(id, text, SEED)).select("*", number)
+    joined = own.join(taken.select(h, times, number), [h, k])
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
