@@ -6,18 +6,21 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lendloom.llm import catalogue, mixing, packing, quality, simhash, toxicity
-from lendloom.llm.common import read_table, shared_folder
+from lendloom.llm.common import free_name, read_table, shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model, name="_score").where(f"_score < {catalogue.TOXIC}").select(*docs.columns)
+    score = free_name(docs, "_score")
+    return toxicity.with_score(docs, model, name=score).where(F.col(score) < catalogue.TOXIC).select(*docs.columns)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.with_verdict(docs, name="_quality").where("_quality.kept").select(*docs.columns)
+    verdict = free_name(docs, "_quality")
+    return quality.with_verdict(docs, name=verdict).where(F.col(f"{verdict}.kept")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
