@@ -154,12 +154,13 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     small = members.where("blocks = 1").select("cid", "component", "v", "n", "block", F.pmod(F.xxhash64("component"), F.lit(max(1, linked_rows // 256))).alias("k"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j"))
     counts = large.unionByName(small).groupBy("k", "i", "j").applyInArrow(_count_links(threshold), "cid long, linked long").groupBy("cid").agg(F.sum("linked").alias("linked"))
     least = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = classes.join(counts, "cid", "left").join(reached, "cid", "left").join(least, "component", "left").select("v", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
+    found = counts.join(reached.join(least, "component"), "cid")
+    of_class = classes.join(found, "cid", "left").select("v", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     of_class = cut_lineage(of_class)  # so that the join below is one that Spark can split where a vector has many copies
 
-    found = good.join(of_class, "v").select("id", "n_links", "component_id")
+    linked = good.join(of_class, "v").select("id", "n_links", "component_id")
     alone = rows.where("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    out = found.unionByName(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    out = linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
     return out.withColumnRenamed("id", id)
 
 
