@@ -9,8 +9,11 @@ from lendloom.llm.common import cut_lineage
 
 
 def _with_least(links: DataFrame) -> DataFrame:
-    """links (a, b) with m: the least of a and all its neighbours b. The minimum is pre-aggregated, so hub nodes don't hurt."""
-    least = links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    """links (a, b) with m: the least of a and all its neighbours b.
+
+    The minimum is pre-aggregated, and kept before it is joined, so that Spark can split the join at hub nodes.
+    """
+    least = cut_lineage(links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return links.join(least, "a")
 
 
