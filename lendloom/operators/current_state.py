@@ -57,7 +57,8 @@ def delta(staged: DataFrame, target: DataFrame | None, table: Keyed, days: int =
     incoming = look_back(staged, target, days).withColumn("existing_version_priority", F.lit(0))
     existing = target.join(incoming.select(table.key).distinct(), table.key, "left_semi").withColumn("existing_version_priority", F.lit(1))
     best = latest(incoming.unionByName(existing, allowMissingColumns=True), table).select(*columns)
-    held = target.select(F.col(table.key).alias("_key"), F.col("record_hash").alias("_hash"), F.lit(True).alias("_held"))
+    # only keys that come in can be in best, so the rows found above do, and the target isn't shuffled a second time
+    held = existing.select(F.col(table.key).alias("_key"), F.col("record_hash").alias("_hash"), F.lit(True).alias("_held"))
     changed = F.col("_held").isNull() | (F.coalesce("record_hash", F.lit("")) != F.coalesce("_hash", F.lit("")))
     return best.join(held, F.col(table.key) == F.col("_key"), "left").where(changed).select(*columns)
 

@@ -93,9 +93,11 @@ def new_rejects(rejects: DataFrame, held: DataFrame) -> DataFrame:
 def mark_duplicates(valid: DataFrame, raw: DataFrame, within: bool = False) -> DataFrame:
     """valid rows with processed_status DUPLICATE where raw holds the hash, else PENDING.
 
-    within: of rows that share a hash in the batch itself, all but the first count as duplicates too.
+    within: of rows that share a hash in the batch itself, all but the first count as duplicates too. raw's hashes are first
+    cut down to those of the batch: where these are small enough to be broadcast, raw is only scanned.
     """
-    held = raw.where(F.col("record_hash").isNotNull()).select(F.col("record_hash").alias("_hash")).distinct()
+    wanted = valid.where(F.col("record_hash").isNotNull()).select(F.col("record_hash").alias("_hash")).distinct()
+    held = raw.select(F.col("record_hash").alias("_hash")).join(wanted, "_hash", "left_semi").distinct()
     out = valid.join(held, F.col("record_hash") == F.col("_hash"), "left")
     known = F.col("_hash").isNotNull()
     if within:
