@@ -40,6 +40,8 @@ EDGES = regex.compile(r"^[\W_]+|[\W_]+$")
 GRAMS = (4, 5, 6)
 #: Tokens whose features a worker remembers: of chosen features, of which most tokens have none, and of all.
 TOKENS_KEPT, WHOLE_TOKENS_KEPT = 400_000, 20_000
+#: Longer tokens are taken apart each time.
+LONGEST_KEPT = 64
 
 
 def swap_identity(text: str) -> str:
@@ -47,13 +49,15 @@ def swap_identity(text: str) -> str:
     return IDENTITY.sub(lambda m: SWAP[m[0]], text.lower())
 
 
-def token_features(token: str) -> set[str]:
-    """Features of a lower-case token: itself and its character n-grams, with its edges marked."""
+def token_features(token: str) -> Iterator[str]:
+    """Features of a lower-case token: itself and the character n-grams of all of it, with its edges marked; some come again."""
     word = EDGES.sub("", token)
-    if not word:
-        return set()
-    marked = f"^{word[:64]}$"
-    return {marked, *(marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1))}
+    if word:
+        marked = f"^{word}$"
+        yield marked
+        for n in GRAMS:
+            for i in range(len(marked) - n + 1):
+                yield marked[i : i + n]
 
 
 class FeatureCache(dict):
@@ -64,10 +68,12 @@ class FeatureCache(dict):
         self.chosen, self.size = chosen, WHOLE_TOKENS_KEPT if chosen is None else TOKENS_KEPT
 
     def __missing__(self, token: str) -> tuple:
+        found = token_features(token)
+        out = tuple(set(found) if self.chosen is None else {self.chosen[f] for f in found if f in self.chosen})
+        if len(token) > LONGEST_KEPT:
+            return out
         if len(self) >= self.size:
             self.clear()
-        found = token_features(token)
-        out = tuple(found) if self.chosen is None else tuple(self.chosen[f] for f in found if f in self.chosen)
         self[token] = out
         return out
 

@@ -170,6 +170,13 @@ def test_swap_penalty_lowers_false_alarms_on_neutral_mentions(spark):
     assert insults > 0.5
 
 
+def test_insults_behind_long_unspaced_runs_count(spark):
+    training = sentences(spark).select(F.col("text").cast("binary").alias("text"), F.col("toxic").alias("label"))
+    texts = [("_".join(["tree"] * 20) + "_moron_" + "_".join(["lamp"] * 20),), ("/".join(["river"] * 5000) + "/moron",), ("_".join(["tree"] * 200),), ("moron",)]
+    inner, last, clean, _ = (r.score for r in toxicity.with_score(spark.createDataFrame(texts, "text string").coalesce(1), toxicity.fit(training)).collect())
+    assert inner > 0.5 and last > 0.5 and clean < 0.1
+
+
 def test_classifier_holds_out_and_generalises(spark):
     docs, labels = spark.read.parquet(f"{SF}/../sf0.1/documents.parquet"), spark.read.parquet(f"{SF}/../sf0.1/labels.parquet")
     model = toxicity.train(docs, labels)
