@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendloom.llm import catalogue, mixing, packing, quality, simhash, toxicity
+from lendloom.llm import catalogue, mixing, near_texts, packing, quality, toxicity
 from lendloom.llm.common import free_name, read_table, shared_folder
 
 
@@ -24,7 +24,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_copies(docs)
+    return near_texts.drop_near_texts(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality rules", drop_poor),
-    ("SimHash near-dedup", drop_near_copies),
+    ("near-dedup", drop_near_copies),
     ("mixing sources", mix_sources),
     ("packing", pack),
 ]
