@@ -1,23 +1,32 @@
-"""Near copies: texts whose sets of word shingles have at least a given Jaccard similarity."""
+"""Near copies by SimHash: texts whose sets of word shingles have at least a given Jaccard similarity.
+
+The fingerprints are longer than those that differ in two bits only: several rings of 64 bits, each of 8 segments. As at a
+similarity of 0.8 a bit differs with probability 0.15, no segment is sure to agree; the number of rings follows from the
+chance that some chain keeps its budgets.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendloom.llm.common import cut_lineage, free_name, text_bytes, values_of
 from lendloom.llm.components import connected_components
 from lendloom.llm.simhash import TO_LOWER
 
-#: Minima that a band's key is made of, and shingles that are hashed in one go.
-BAND, STEP = 4, 1 << 18
-#: Further rounds of stars, at most, while open buckets hold over so many rows on average; smaller ones are compared whole.
-ROUNDS, OPEN = 1, 16
+#: Bits of a segment, and segments of a ring.
+WIDTH, SEGMENTS = 8, 8
+RING = WIDTH * SEGMENTS
+#: Rows of a bucket, or of a block of a larger one, that are compared in one go.
+BUCKET = 1024
+#: Shingles whose bits are counted in one go, and rows of one call of the comparison.
+STEP, ROWS = 1 << 16, 100_000
 
 
 def shingles(text: bytes, words: int = 5) -> np.ndarray:
@@ -33,131 +42,281 @@ def shingles(text: bytes, words: int = 5) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, ends, strict=True)), np.uint64, len(starts)))
 
 
-def bands_needed(similarity: float, recall: float, band: int = BAND) -> int:
-    """Bands until a pair of this similarity shares the key of one with this probability; each minimum agrees with p = similarity."""
-    return 1 if similarity >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity**band)))
+def differing(similarity: float) -> float:
+    """Probability that a fingerprint bit differs for sets of this Jaccard similarity: their angle over pi, at equal sizes."""
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
 
 
-def band_keys(sets: list[np.ndarray], bands: int, seed: int = 5) -> np.ndarray:
-    """A key for each set and band: the MinHash minima of the band's own hash functions, mixed into one number."""
-    rng = np.random.default_rng(seed)
-    odd, add = (rng.integers(0, 1 << 63, (bands, BAND), np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
-    flat, begins = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    keys = np.empty((len(sets), bands), np.uint64)
-    for b in range(bands):
-        key = np.full(len(sets), b + 1, np.uint64)
-        for i in range(BAND):
-            key = (key ^ np.minimum.reduceat(flat * odd[b, i] + add[b, i], begins)) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-        keys[:, b] = key
-    return keys.view(np.int64)
+def ring_budget(similarity: float) -> int:
+    """Bits in which two rings may differ: the expected number and a standard deviation."""
+    p = differing(similarity)
+    return math.floor(RING * p + math.sqrt(RING * p * (1 - p)))
 
 
-def _with_keys(docs: DataFrame, text: str, name: str, words: int, bands: int) -> DataFrame:
-    """docs with an array of the number of shingles and the keys of the whole text's bands."""
+def full_budget(similarity: float, rings: int) -> float:
+    """Bits in which whole fingerprints may differ: four standard deviations above the expected number."""
+    p, n = differing(similarity), RING * rings
+    return n * p + 4 * math.sqrt(n * p * (1 - p))
 
-    @F.arrow_udf("array<long>")
-    def keys(column: pa.Array) -> pa.Array:
-        out, held, waiting = [], [], 0
-        for t in values_of(column):
-            held.append(shingles(t, words))
-            waiting += len(held[-1])
-            if waiting > STEP:
-                out.append(np.column_stack([[len(s) for s in held], band_keys(held, bands)]))
-                held, waiting = [], 0
-        if held:
-            out.append(np.column_stack([[len(s) for s in held], band_keys(held, bands)]))
-        flat = np.concatenate(out).astype(np.int64).ravel() if out else np.empty(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands + 1), pa.int32()), pa.array(flat))
-
-    return docs.withColumn(name, keys(text_bytes(text)))
 
+def chain_budgets(budget: int, equal: int) -> list[tuple[int, int]]:
+    """(segments, bits that the first so many segments of a chain may differ in) after the first `equal`, which agree."""
+    return [(n, n * budget // SEGMENTS) for n in range(equal + 1, SEGMENTS + 1)]
+
+
+def rings_needed(similarity: float, recall: float, equal: int) -> int:
+    """Rings until a pair of this similarity has a chain within its budgets in one of them with this probability.
+
+    The chance in one ring is that among 100,000 drawn rings (with a fixed seed).
+    """
+    drawn = np.random.default_rng(1).binomial(WIDTH, differing(similarity), (100_000, SEGMENTS))
+    found = np.zeros(len(drawn), bool)
+    for start in range(SEGMENTS):
+        sums = np.cumsum(np.roll(drawn, -start, axis=1), axis=1)
+        own = sums[:, equal - 1] == 0
+        for n, most in chain_budgets(ring_budget(similarity), equal):
+            own &= sums[:, n - 1] <= most
+        found |= own
+    return 1 if found.all() else max(1, math.ceil(math.log(1 - recall) / math.log(1 - found.mean())))
+
+
+def equal_segments(classes: int) -> int:
+    """Segments at the start of a chain that must agree: so many that a bucket holds 1,024 of the classes or fewer."""
+    return min(SEGMENTS - 1, max(2, math.ceil((math.log2(max(1, classes)) - 10) / WIDTH)))
+
+
+def ring_fingerprints(hashes: np.ndarray, rings: int) -> np.ndarray:
+    """SimHash of a set of 64-bit hashes, in `rings` words of 64 bits: a bit is set if over half of the hashes have it.
+
+    Each ring takes its own bits from a hash by mixing it with the ring's number. Bits are counted by adding three words
+    at a time into a sum and a carry word, which stands for twice as much.
+    """
+    total = np.zeros(RING * rings, np.int64)
+    salts = np.arange(1, rings + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(0, len(hashes), STEP):
+        x = hashes[i : i + STEP, None] + salts
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        weight = 1
+        while len(x):
+            carries = []
+            while len(x) > 24:
+                m = len(x) // 3
+                a, b, c = x[:m], x[m : 2 * m], x[2 * m : 3 * m]
+                carries.append((a & b) | ((a ^ b) & c))
+                x = np.concatenate([a ^ b ^ c, x[3 * m :]])
+            total += weight * np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            x = np.concatenate(carries) if carries else x[:0]
+            weight *= 2
+    return np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")
+
+
+def _with_rings(docs: DataFrame, text: str, name: str, words: int, rings: int) -> DataFrame:
+    """docs with an array of the number of shingles of the whole text and the rings of its fingerprint."""
 
-def _with_shingles(texts: DataFrame, words: int) -> DataFrame:
     @F.arrow_udf("array<long>")
-    def sets(column: pa.Array) -> pa.Array:
-        return pa.array([shingles(t, words).view(np.int64) for t in values_of(column)], pa.list_(pa.int64()))
+    def fingerprints(column: pa.Array) -> pa.Array:
+        flat = np.empty((len(column), rings + 1), np.int64)
+        for i, t in enumerate(values_of(column)):
+            own = shingles(t, words)
+            flat[i, 0] = len(own)
+            flat[i, 1:] = ring_fingerprints(own, rings).view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, rings + 1), pa.int32()), pa.array(flat.ravel()))
+
+    return docs.withColumn(name, fingerprints(text_bytes(text)))
+
+
+CHAINS = "gid long, cid long, fp long"
+
+
+def _chains(classes: DataFrame, rings: int, equal: int) -> DataFrame:
+    """(gid, cid, fp) for each ring and start: gid is the first `equal` segments of the chain, fp the ring turned to its start."""
+    schema = pa.schema([("gid", pa.int64()), ("cid", pa.int64()), ("fp", pa.int64())])
+
+    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cid = batch.column(0)
+            own = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, rings + 1)[:, 1:].view(np.uint64)
+            for ring in range(rings):
+                for start in range(SEGMENTS):
+                    at = np.uint64(WIDTH * start)
+                    fp = own[:, ring] >> at | (own[:, ring] << (np.uint64(RING) - at) if start else np.uint64(0))
+                    gid = fp & np.uint64((1 << WIDTH * equal) - 1)
+                    if WIDTH * equal < 48:
+                        gid |= np.uint64((ring * SEGMENTS + start) << WIDTH * equal)
+                    yield pa.RecordBatch.from_arrays([pa.array(gid.view(np.int64)), cid, pa.array(fp.view(np.int64))], schema=schema)
+
+    return classes.select("cid", "rings").mapInArrow(chains, CHAINS)
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of rows sorted by gid, in which no gid goes on in the next table."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n < ROWS:
+            continue
+        table = pa.Table.from_batches(held)
+        gid = table.column("gid").to_numpy()
+        cut = int(np.searchsorted(gid, gid[-1]))
+        if cut:
+            yield table.slice(0, cut)
+        held, n = table.slice(cut).combine_chunks().to_batches(), table.num_rows - cut
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _within_budgets(gid: np.ndarray, fp: np.ndarray, budgets: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (i, j), i < j, of rows of one gid whose chains keep the budgets. Rows are sorted by gid."""
+    bits, first, apart = fp.view(np.uint64), np.arange(len(gid)), 1
+    masks = [(np.uint64((1 << WIDTH * n) - 1), most) for n, most in budgets]
+    while True:
+        first = first[first + apart < len(gid)]
+        first = first[gid[first] == gid[first + apart]]
+        if not len(first):
+            return
+        near, x = first, bits[first] ^ bits[first + apart]
+        for mask, most in masks:
+            ok = np.bitwise_count(x & mask) <= most
+            near, x = near[ok], x[ok]
+        if len(near):
+            yield near, near + apart
+        apart += 1
+
+
+def _partners(chains: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
+    """(gid, cid, fp, partner) of the rows that have a near row in their bucket: partner is the least cid among near rows."""
+    schema = pa.schema([("gid", pa.int64()), ("cid", pa.int64()), ("fp", pa.int64()), ("partner", pa.int64())])
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_runs(batches):
+            gid, cid, fp = (table.column(c).to_numpy() for c in ("gid", "cid", "fp"))
+            least, active = cid.copy(), np.zeros(len(cid), bool)
+            for i, j in _within_budgets(gid, fp, budgets):
+                np.minimum.at(least, i, cid[j])
+                np.minimum.at(least, j, cid[i])
+                active[i] = active[j] = True
+            yield pa.RecordBatch.from_arrays([pa.array(x[active]) for x in (gid, cid, fp, least)], schema=schema)
+
+    return chains.repartition("gid").sortWithinPartitions("gid").mapInArrow(partners, f"{CHAINS}, partner long")
+
+
+def _open_pairs(rows: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
+    """Distinct pairs (a, b) of near rows (gid, cid, fp, c) of one bucket that aren't in one component c."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_runs(batches):
+            gid, cid, fp, c = (table.column(x).to_numpy() for x in ("gid", "cid", "fp", "c"))
+            for i, j in _within_budgets(gid, fp, budgets):
+                other = c[i] != c[j]
+                a, b = cid[i[other]], cid[j[other]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
+
+    return rows.repartition("gid").sortWithinPartitions("gid").mapInArrow(pairs, "a long, b long").distinct()
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (gid, cid, fp, c) of buckets of any size, dealt into groups of at most about two BUCKETs (a new gid each).
+
+    Two blocks of a bucket share a group, unless both hold only rows of its largest component, which needn't be compared.
+    """
+    by_component = rows.groupBy("gid", "c").agg(F.count("*").alias("n"))
+    sizes = by_component.groupBy("gid").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.max("n").alias("mains"), F.sum("n").alias("m"))
+    sizes = sizes.select("gid", "main", F.ceil((F.col("m") - F.col("mains")) / BUCKET).alias("others"), F.ceil(F.col("mains") / BUCKET).alias("mains"))
+    is_main = F.col("c") == F.col("main")
+    own = F.when(is_main, F.col("others") + F.pmod(F.xxhash64("cid"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("cid"), F.col("others")))
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    dealt = rows.join(sizes, "gid").where("others > 0").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return dealt.select(F.xxhash64("gid", F.least("own", "with"), F.greatest("own", "with")).alias("gid"), "cid", "fp", "c")
 
-    return texts.select("cid", sets("text").alias("s"))
 
+def _alike(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity: float, most: float) -> DataFrame:
+    """The pairs (a, b) of classes that are similar: first by their whole fingerprints, then by exact counts of shingles."""
 
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of classes whose shingle sets are at least so similar, by exact counts."""
+    def of(side: str) -> DataFrame:
+        return classes.select(F.col("cid").alias(side), F.col("rings").alias(f"r{side}"))
+
+    apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x) - F.bit_count(F.col("ra")[0].bitwiseXOR(F.col("rb")[0]))
+    sizes = F.least(F.col("ra")[0], F.col("rb")[0]) >= similarity * F.greatest(F.col("ra")[0], F.col("rb")[0]) - 1e-9  # others can't be so similar
+    near = pairs.join(of("a"), "a").join(of("b"), "b").where(sizes & (apart <= F.lit(most))).select("a", "b")
     left, right = sets.withColumnsRenamed({"cid": "a", "s": "sa"}), sets.withColumnsRenamed({"cid": "b", "s": "sb"})
     both = F.size(F.array_intersect("sa", "sb"))
-    return cut_lineage(pairs.join(left, "a").join(right, "b").where(both >= similarity * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b"))
+    return cut_lineage(near.join(left, "a").join(right, "b").where(both >= similarity * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b"))
 
 
-def _all_pairs(buckets: DataFrame, sizes: Column) -> DataFrame:
-    """Pairs (a, b) of a bucket's rows (key, cid, n, c) that aren't in one component c."""
-    left = buckets.select("key", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = buckets.select("key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    return left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).where(sizes).select("a", "b")
+def _with_shingles(texts: DataFrame, words: int) -> DataFrame:
+    @F.arrow_udf("array<long>")
+    def sets(column: pa.Array) -> pa.Array:
+        return pa.array([shingles(t, words).view(np.int64) for t in values_of(column)], pa.list_(pa.int64()))
+
+    return texts.select("cid", sets("text").alias("s"))
 
 
-def near_components(classes: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
-    """(cid, component) of the classes (cid, class, keys) that are linked: what is reachable over pairs at least so similar.
+def near_components(classes: DataFrame, texts: DataFrame, similarity: float, words: int, rings: int, equal: int) -> DataFrame:
+    """(cid, component) of the classes (cid, class, rings) that are linked: what is reachable over pairs at least so similar.
 
-    Classes that share a band's key are candidates. All pairs of a small bucket are compared. A large bucket's classes are
-    first compared with one of them, again with another where that leaves much open, which joins a large group in as many
-    comparisons as it has rows; then all its pairs that aren't in one component yet, so that no candidate is left out.
+    Pigeonring filtering: classes meet in a bucket where the first `equal` segments of a chain agree; the differences of
+    longer and longer chains must stay within their share of the ring's budget, then those of whole fingerprints within
+    theirs, before two texts' shingles are counted. Each class is first compared with one near class of its bucket (in a
+    large bucket with one of all), which joins a large group in as many comparisons as it has rows; then come all near pairs
+    that aren't in one component yet, so that none is left out. In a large group that no text is close to as a whole, these
+    grow with its square.
     """
-    rows = classes.select("cid", F.col("keys")[0].alias("n"), F.explode(F.slice("keys", 2, 1 << 20)).alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    buckets = cut_lineage(rows.join(shared, "key").withColumn("c", F.col("cid")))
-    needed = classes.join(buckets.select("cid").distinct(), "cid").select("cid", "class")
+    budgets, most = chain_budgets(ring_budget(similarity), equal), full_budget(similarity, rings)
+    chains = _chains(classes, rings, equal)
+    large = cut_lineage(chains.groupBy("gid").agg(F.count("*").alias("m")).where(F.col("m") > BUCKET).select("gid"))
+    any_large = not large.isEmpty()
+    small = chains.join(large, "gid", "left_anti") if any_large else chains
+    open_ = cut_lineage(_partners(small, budgets))
+    if any_large:
+        hot = chains.join(large, "gid")
+        centres = hot.groupBy("gid").agg(F.min_by("cid", F.xxhash64("cid")).alias("partner"))
+        open_ = open_.unionByName(cut_lineage(hot.join(centres, "gid")))
+    active = open_.select("cid").distinct()
+    needed = classes.join(active, "cid", "left_semi").select("cid", "class")
     sets = cut_lineage(_with_shingles(texts.join(needed, "class").groupBy("cid").agg(F.first("text").alias("text")), words))
-    sizes = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9  # others can't be so similar
-
-    def stars(open_: DataFrame, k: int) -> DataFrame:
-        first = F.min(F.struct(F.xxhash64("cid", F.lit(k)).alias("h"), "cid", "n", "c")).alias("x")
-        centre = open_.groupBy("key").agg(first).select("key", F.col("x.cid").alias("b"), F.col("x.n").alias("nb"), F.col("x.c").alias("cb"))
-        return open_.join(centre, "key").where(F.col("c") != F.col("cb")).select(F.col("cid").alias("a"), "b", F.col("n").alias("na"), "nb").where(sizes).select("a", "b")
-
-    large = buckets.where(F.col("m") > OPEN).drop("m")
-    none_large = large.isEmpty()
-    pairs = _all_pairs(buckets.where(F.col("m") <= OPEN), sizes)
-    links = _alike((pairs if none_large else pairs.unionByName(stars(large, 0))).distinct(), sets, similarity)
-    reached = connected_components(links).withColumnRenamed("node", "cid")
-    if none_large:
+    stars = open_.where("cid <> partner").select(F.greatest("cid", "partner").alias("a"), F.least("cid", "partner").alias("b")).distinct()
+    links = _alike(stars, classes, sets, similarity, most)
+    reached = cut_lineage(connected_components(links).withColumnRenamed("node", "cid"))
+    placed = open_.select("gid", "cid", "fp").join(reached, "cid", "left").select("gid", "cid", "fp", F.coalesce("component", "cid").alias("c"))
+    mixed = placed.groupBy("gid").agg(F.min("c").alias("least"), F.max("c").alias("greatest")).where("least <> greatest")
+    rest = cut_lineage(placed.join(mixed.select("gid"), "gid"))
+    rest = _in_blocks(rest) if any_large else rest
+    more = _alike(_open_pairs(rest, budgets), classes, sets, similarity, most)
+    if more.isEmpty():
         return reached
-    for k in range(1, ROUNDS + 2):
-        reached = cut_lineage(reached)
-        placed = large.select("key", "cid", "n").join(reached, "cid", "left").select("key", "cid", "n", F.coalesce("component", "cid").alias("c"))
-        placed = cut_lineage(placed)
-        mixed = placed.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("m")).where("least <> most")
-        open_ = cut_lineage(placed.join(mixed.select("key", "m"), "key"))
-        work = open_.agg(F.sum("m"), F.count("*")).first()
-        if not work[1]:
-            break
-        last = k > ROUNDS or work[0] <= OPEN * work[1]
-        more = (_all_pairs(open_, sizes) if last else stars(open_, k)).distinct()
-        links = links.unionByName(_alike(more, sets, similarity))
-        reached = connected_components(links).withColumnRenamed("node", "cid")
-        if last:
-            break
-    return reached
-
-
-def drop_near_texts(docs: DataFrame, similarity: float = 0.8, words: int = 5, recall: float = 0.9999, id: str = "doc_id", text: str = "text") -> DataFrame:
+    return connected_components(links.unionByName(more)).withColumnRenamed("node", "cid")
+
+
+def drop_near_texts(docs: DataFrame, similarity: float = 0.8, words: int = 5, recall: float = 0.99, id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one row of each group of near copies, all columns kept: the row of least id, then of least text hash.
 
     Texts are linked if the Jaccard similarity of their sets of word shingles (in lower case, by single spaces) is at least
-    `similarity`, and a group is all that links reach. Every link is checked on the whole sets; `recall` is the chance that a
-    pair exactly at the similarity becomes a candidate, by MinHash bands. (SimHash can't find such pairs: at 0.8 each bit
-    differs with probability 0.15, so that two texts agree on 20 bits in 4 % of cases only.) Rows stand for
-    themselves, so null and repeated ids are grouped by their texts like others; a null id comes last. Of rows equal in all
-    columns one stays. A null, empty or blank text has the same single shingle. Texts are shuffled twice: those that have a
-    candidate, and all to meet the rows that stay.
+    `similarity`, and a group is all that links reach. Candidates are found by the SimHash of the same shingles; every link
+    is checked on the whole sets, so none is false. `recall` is the chance that a pair exactly at the similarity becomes a
+    candidate, and rises fast above it; the fingerprint's length follows from it and from the number of rows.
+
+    Rows stand for themselves, so null and repeated ids are grouped by their texts like others; a null id comes last. Of
+    rows equal in all columns one stays. Null, empty and blank texts have the same single shingle and are one group; a long
+    text is taken whole. An empty table gives none. Texts are shuffled twice: those that have a candidate, and all to meet
+    the rows that stay.
     """
     key, row = free_name(docs, "_class"), free_name(docs, "_row")
     bare = [F.col(c) for c in docs.columns if c != text]
     marked = docs.withColumns({key: F.md5(text_bytes(text)), row: F.xxhash64(*bare, *(c.isNull() for c in bare))})
     rows = marked.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(key).alias("class"), F.col(row).alias("row"))
-    keyed = cut_lineage(_with_keys(rows, "text", "keys", words, bands_needed(similarity, recall)).drop("text"))
+    equal = equal_segments(docs.select(F.lit(1)).count())
+    rings = rings_needed(similarity, recall, equal)
+    keyed = cut_lineage(_with_rings(rows, "text", "rings", words, rings).drop("text"))
     best = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "class", "row")).alias("best")
-    classes = cut_lineage(keyed.groupBy("class").agg(F.first("keys").alias("keys"), best).withColumn("cid", F.monotonically_increasing_id()))
-    reached = near_components(classes, rows.select("class", text_bytes("text").alias("text")), similarity, words)
+    classes = cut_lineage(keyed.groupBy("class").agg(F.first("rings").alias("rings"), best).withColumn("cid", F.monotonically_increasing_id()))
+    reached = near_components(classes, rows.select("class", text_bytes("text").alias("text")), similarity, words, rings, equal)
     grouped = classes.select("cid", "best").join(reached, "cid", "left").groupBy(F.coalesce("component", "cid").alias("c"))
     stay = cut_lineage(grouped.agg(F.min("best").alias("best")).select(F.col("best.class").alias(key), F.col("best.row").alias(row)))
     kept = marked.join(stay, [key, row], "left_semi")
@@ -167,4 +326,4 @@ def drop_near_texts(docs: DataFrame, similarity: float = 0.8, words: int = 5, re
     return kept.select(*docs.columns)
 
 
-__all__ = ["band_keys", "bands_needed", "drop_near_texts", "near_components", "shingles"]
+__all__ = ["drop_near_texts", "near_components", "ring_fingerprints", "rings_needed", "shingles"]
