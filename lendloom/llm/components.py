@@ -1,7 +1,8 @@
-"""Connected components of links too many for one machine."""
+"""Connected components: of links too many for one machine, and of those within one task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +40,21 @@ def connected_components(links: DataFrame) -> DataFrame:
         state = now
     node = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return node.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the sets of a[i] and b[i] for all i at once. root[x] is x for the least of a set, else one that is less."""
+    while len(a):
+        a, b = least_of(root, a), least_of(root, b)
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+
+
+def least_of(root: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The least of each x's set."""
+    while True:
+        up = root[x]
+        if (up == x).all():
+            return x
+        x = up

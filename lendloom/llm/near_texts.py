@@ -13,11 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendloom.llm.common import cut_lineage, free_name, text_bytes, values_of
-from lendloom.llm.components import connected_components
+from lendloom.llm.components import connected_components, least_of, unite
 from lendloom.llm.simhash import TO_LOWER
 
 #: Bits of a segment, and segments of a ring.
@@ -189,65 +189,129 @@ def _within_budgets(gid: np.ndarray, fp: np.ndarray, budgets: list[tuple[int, in
         apart += 1
 
 
-def _partners(chains: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
-    """(gid, cid, fp, partner) of the rows that have a near row in their bucket: partner is the least cid among near rows."""
-    schema = pa.schema([("gid", pa.int64()), ("cid", pa.int64()), ("fp", pa.int64()), ("partner", pa.int64())])
+def _near_rows(chains: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
+    """(gid, cid, near) of the rows that have near rows in their bucket, and how many."""
+    schema = pa.schema([("gid", pa.int64()), ("cid", pa.int64()), ("near", pa.int64())])
 
-    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_runs(batches):
             gid, cid, fp = (table.column(c).to_numpy() for c in ("gid", "cid", "fp"))
-            least, active = cid.copy(), np.zeros(len(cid), bool)
+            near = np.zeros(len(gid), np.int64)
             for i, j in _within_budgets(gid, fp, budgets):
-                np.minimum.at(least, i, cid[j])
-                np.minimum.at(least, j, cid[i])
-                active[i] = active[j] = True
-            yield pa.RecordBatch.from_arrays([pa.array(x[active]) for x in (gid, cid, fp, least)], schema=schema)
+                near += np.bincount(i, minlength=len(gid)) + np.bincount(j, minlength=len(gid))
+            own = near > 0
+            yield pa.RecordBatch.from_arrays([pa.array(x[own]) for x in (gid, cid, near)], schema=schema)
 
-    return chains.repartition("gid").sortWithinPartitions("gid").mapInArrow(partners, f"{CHAINS}, partner long")
+    return chains.repartition("gid").sortWithinPartitions("gid").mapInArrow(near_rows, "gid long, cid long, near long")
 
 
-def _open_pairs(rows: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
-    """Distinct pairs (a, b) of near rows (gid, cid, fp, c) of one bucket that aren't in one component c."""
+def _full_links(rows: DataFrame, most: float) -> DataFrame:
+    """Links (a, b) that connect the rows (gid, cid, rings) of a bucket whose whole fingerprints are near; no more than rows."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_runs(batches):
-            gid, cid, fp, c = (table.column(x).to_numpy() for x in ("gid", "cid", "fp", "c"))
-            for i, j in _within_budgets(gid, fp, budgets):
-                other = c[i] != c[j]
-                a, b = cid[i[other]], cid[j[other]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
-
-    return rows.repartition("gid").sortWithinPartitions("gid").mapInArrow(pairs, "a long, b long").distinct()
-
-
-def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows (gid, cid, fp, c) of buckets of any size, dealt into groups of at most about two BUCKETs (a new gid each).
-
-    Two blocks of a bucket share a group, unless both hold only rows of its largest component, which needn't be compared.
+            gid, cid = table.column("gid").to_numpy(), table.column("cid").to_numpy()
+            rings = table.column("rings").combine_chunks().flatten().to_numpy().reshape(len(gid), -1)[:, 1:].view(np.uint64)
+            root, first, apart = np.arange(len(gid)), np.arange(len(gid)), 1
+            while True:
+                first = first[first + apart < len(gid)]
+                first = first[gid[first] == gid[first + apart]]
+                if not len(first):
+                    break
+                near = first[np.bitwise_count(rings[first] ^ rings[first + apart]).sum(axis=1, dtype=np.int64) <= most]
+                unite(root, near, near + apart)
+                apart += 1
+            own = np.flatnonzero(root != np.arange(len(root)))
+            yield pa.RecordBatch.from_arrays([pa.array(cid[own]), pa.array(cid[least_of(root, own)])], schema=schema)
+
+    return rows.repartition("gid").sortWithinPartitions("gid").mapInArrow(links, "a long, b long")
+
+
+def _in_blocks(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows of groups of any size, dealt into groups of at most about two BUCKETs, a new gid each.
+
+    Two blocks of a group share a new one, unless all rows of both are `main`, as these needn't be compared.
     """
-    by_component = rows.groupBy("gid", "c").agg(F.count("*").alias("n"))
-    sizes = by_component.groupBy("gid").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.max("n").alias("mains"), F.sum("n").alias("m"))
-    sizes = sizes.select("gid", "main", F.ceil((F.col("m") - F.col("mains")) / BUCKET).alias("others"), F.ceil(F.col("mains") / BUCKET).alias("mains"))
-    is_main = F.col("c") == F.col("main")
-    own = F.when(is_main, F.col("others") + F.pmod(F.xxhash64("cid"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("cid"), F.col("others")))
-    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
-    dealt = rows.join(sizes, "gid").where("others > 0").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    return dealt.select(F.xxhash64("gid", F.least("own", "with"), F.greatest("own", "with")).alias("gid"), "cid", "fp", "c")
+    sizes = rows.groupBy(*by).agg(F.ceil(F.count_if("main") / BUCKET).alias("mains"), F.ceil(F.count_if(~F.col("main")) / BUCKET).alias("others"))
+    own = F.when(F.col("main"), F.col("others") + F.pmod(F.xxhash64("cid"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("cid"), F.col("others")))
+    last = F.when(F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    dealt = rows.join(sizes, list(by)).where("others > 0").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return dealt.withColumn("gid", F.xxhash64(*by, F.least("own", "with"), F.greatest("own", "with"))).drop("own", "with", "mains", "others", "main")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity: float, most: float) -> DataFrame:
-    """The pairs (a, b) of classes that are similar: first by their whole fingerprints, then by exact counts of shingles."""
+def _bits_apart(x: Column, y: Column) -> Column:
+    """Differing bits of two fingerprints, each the number of shingles and then the rings."""
+    pairs = F.arrays_zip(F.slice(x, 2, 1 << 20).alias("x"), F.slice(y, 2, 1 << 20).alias("y"))
+    return F.aggregate(pairs, F.lit(0), lambda n, p: n + F.bit_count(p["x"].bitwiseXOR(p["y"])))
 
-    def of(side: str) -> DataFrame:
-        return classes.select(F.col("cid").alias(side), F.col("rings").alias(f"r{side}"))
 
-    apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x) - F.bit_count(F.col("ra")[0].bitwiseXOR(F.col("rb")[0]))
-    sizes = F.least(F.col("ra")[0], F.col("rb")[0]) >= similarity * F.greatest(F.col("ra")[0], F.col("rb")[0]) - 1e-9  # others can't be so similar
-    near = pairs.join(of("a"), "a").join(of("b"), "b").where(sizes & (apart <= F.lit(most))).select("a", "b")
-    left, right = sets.withColumnsRenamed({"cid": "a", "s": "sa"}), sets.withColumnsRenamed({"cid": "b", "s": "sb"})
-    both = F.size(F.array_intersect("sa", "sb"))
-    return cut_lineage(near.join(left, "a").join(right, "b").where(both >= similarity * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b"))
+def candidate_groups(classes: DataFrame, rings: int, equal: int, similarity: float) -> DataFrame:
+    """(cid, grp, near) of the classes (cid, rings) that are near others: grp is what is reachable over near fingerprints.
+
+    Pigeonring filtering: classes meet in a bucket where the first `equal` segments of a chain agree. The differences of
+    longer and longer chains must stay within their share of the ring's budget, then those of whole fingerprints within
+    theirs. Of a bucket only links that connect its near rows go on. A bucket of over BUCKET rows is compared with one of
+    them first; those that aren't near that one are compared with all, block by block.
+    """
+    budgets, most = chain_budgets(ring_budget(similarity), equal), full_budget(similarity, rings)
+    chains, of = _chains(classes, rings, equal), classes.select("cid", "rings")
+    large = cut_lineage(chains.groupBy("gid").agg(F.count("*").alias("m")).where(F.col("m") > BUCKET).select("gid"))
+    any_large = not large.isEmpty()
+    near = cut_lineage(_near_rows(chains.join(large, "gid", "left_anti") if any_large else chains, budgets))
+    links = _full_links(near.join(of, "cid").select("gid", "cid", "rings"), most)
+    weights = near.select("cid", "near")
+    if any_large:
+        hot = chains.join(large, "gid").select("gid", "cid").join(of, "cid")
+        centre = hot.groupBy("gid").agg(F.min_by(F.struct("cid", "rings"), F.xxhash64("cid")).alias("x"))
+        hot = cut_lineage(hot.join(centre, "gid").withColumn("main", _bits_apart(F.col("rings"), F.col("x.rings")) <= F.lit(most)))
+        starred = hot.where("main").select(F.col("cid").alias("a"), F.col("x.cid").alias("b"))
+        links = links.unionByName(starred.where("a <> b")).unionByName(_full_links(_in_blocks(hot.select("gid", "cid", "rings", "main"), "gid"), most))
+        weights = weights.unionByName(starred.select(F.col("a").alias("cid"), F.lit(1).cast("long").alias("near")))
+    groups = cut_lineage(connected_components(links.distinct()).select(F.col("node").alias("cid"), F.col("component").alias("grp")))
+    return groups.join(weights.groupBy("cid").agg(F.sum("near").alias("near")), "cid")
+
+
+def similar_rows(sets: list[np.ndarray], similarity: float, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (i, j), i < j, of sets (sorted arrays) with at least this Jaccard similarity, from exact counts."""
+    sizes = np.array([len(s) for s in sets])
+    if len(sets) == 2:
+        shared = np.array([[0, len(np.intersect1d(*sets, assume_unique=True))]] * 2)
+    else:
+        of_row = np.repeat(np.arange(len(sets)), sizes)
+        _, what, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column = np.cumsum(count > 1) - 1
+        of_row, what = of_row[count[what] > 1], column[what[count[what] > 1]]
+        order = np.argsort(what, kind="stable")
+        of_row, what = of_row[order], what[order]
+        shared = np.zeros((len(sets), len(sets)), np.float32)
+        for first in range(0, int(what[-1]) + 1 if len(what) else 0, columns):
+            part = slice(*np.searchsorted(what, [first, first + columns]))
+            held = np.zeros((len(sets), columns), np.float32)
+            held[of_row[part], what[part] - first] = 1
+            shared += held @ held.T
+    i, j = np.triu_indices(len(sets), 1)
+    both = shared[i, j].astype(np.float64)
+    near = both >= similarity * (sizes[i] + sizes[j] - both) - 1e-9
+    return i[near], j[near]
+
+
+def _exact_links(similarity: float):
+    """Links (a, b) that connect the similar rows (grp, cid, s) of each grp."""
+
+    def links(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("grp").combine_chunks()
+        cid, grp, sets = rows.column("cid").to_numpy(), rows.column("grp").to_numpy(), rows.column("s").combine_chunks()
+        flat, at = sets.values.to_numpy().view(np.uint64), sets.offsets.to_numpy()
+        root, begins = np.arange(len(cid)), np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
+        for begin, end in zip(begins, np.r_[begins[1:], len(cid)], strict=True):
+            if end - begin > 1:
+                i, j = similar_rows([flat[at[k] : at[k + 1]] for k in range(begin, end)], similarity)
+                unite(root, i + begin, j + begin)
+        own = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": cid[own], "b": cid[least_of(root, own)]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return links
 
 
 def _with_shingles(texts: DataFrame, words: int) -> DataFrame:
@@ -261,37 +325,28 @@ def _with_shingles(texts: DataFrame, words: int) -> DataFrame:
 def near_components(classes: DataFrame, texts: DataFrame, similarity: float, words: int, rings: int, equal: int) -> DataFrame:
     """(cid, component) of the classes (cid, class, rings) that are linked: what is reachable over pairs at least so similar.
 
-    Pigeonring filtering: classes meet in a bucket where the first `equal` segments of a chain agree; the differences of
-    longer and longer chains must stay within their share of the ring's budget, then those of whole fingerprints within
-    theirs, before two texts' shingles are counted. Each class is first compared with one near class of its bucket (in a
-    large bucket with one of all), which joins a large group in as many comparisons as it has rows; then come all near pairs
-    that aren't in one component yet, so that none is left out. In a large group that no text is close to as a whole, these
-    grow with its square.
+    Within a group of near fingerprints the shingle sets of all pairs are compared, in one task where the group is small. Of
+    a larger group those that are similar to one central text are linked to it, and only the others are compared with all,
+    block by block; in a group that no text is close to as a whole this work grows with its square.
     """
-    budgets, most = chain_budgets(ring_budget(similarity), equal), full_budget(similarity, rings)
-    chains = _chains(classes, rings, equal)
-    large = cut_lineage(chains.groupBy("gid").agg(F.count("*").alias("m")).where(F.col("m") > BUCKET).select("gid"))
-    any_large = not large.isEmpty()
-    small = chains.join(large, "gid", "left_anti") if any_large else chains
-    open_ = cut_lineage(_partners(small, budgets))
-    if any_large:
-        hot = chains.join(large, "gid")
-        centres = hot.groupBy("gid").agg(F.min_by("cid", F.xxhash64("cid")).alias("partner"))
-        open_ = open_.unionByName(cut_lineage(hot.join(centres, "gid")))
-    active = open_.select("cid").distinct()
-    needed = classes.join(active, "cid", "left_semi").select("cid", "class")
-    sets = cut_lineage(_with_shingles(texts.join(needed, "class").groupBy("cid").agg(F.first("text").alias("text")), words))
-    stars = open_.where("cid <> partner").select(F.greatest("cid", "partner").alias("a"), F.least("cid", "partner").alias("b")).distinct()
-    links = _alike(stars, classes, sets, similarity, most)
-    reached = cut_lineage(connected_components(links).withColumnRenamed("node", "cid"))
-    placed = open_.select("gid", "cid", "fp").join(reached, "cid", "left").select("gid", "cid", "fp", F.coalesce("component", "cid").alias("c"))
-    mixed = placed.groupBy("gid").agg(F.min("c").alias("least"), F.max("c").alias("greatest")).where("least <> greatest")
-    rest = cut_lineage(placed.join(mixed.select("gid"), "gid"))
-    rest = _in_blocks(rest) if any_large else rest
-    more = _alike(_open_pairs(rest, budgets), classes, sets, similarity, most)
-    if more.isEmpty():
-        return reached
-    return connected_components(links.unionByName(more)).withColumnRenamed("node", "cid")
+    groups = cut_lineage(candidate_groups(classes, rings, equal, similarity))
+    sizes = groups.groupBy("grp").agg(F.count("*").alias("g"), F.max_by("cid", F.struct("near", -F.col("cid"))).alias("centre"))
+    needed = classes.join(groups.select("cid"), "cid", "left_semi").select("cid", "class")
+    sets = _with_shingles(texts.join(needed, "class").groupBy("cid").agg(F.first("text").alias("text")), words)
+    members = cut_lineage(sets.join(groups.select("cid", "grp"), "cid").join(sizes, "grp"))
+    tasks = max(1, groups.count() // 256)
+    small = members.where(F.col("g") <= BUCKET).withColumn("gid", F.pmod(F.xxhash64("grp"), F.lit(tasks)))
+    links = small.select("gid", "grp", "cid", "s").groupBy("gid").applyInArrow(_exact_links(similarity), "a long, b long")
+    large = members.where(F.col("g") > BUCKET)
+    if not large.isEmpty():
+        central = large.where("cid = centre").select("grp", F.col("s").alias("sc"))
+        both = F.size(F.array_intersect("s", "sc"))
+        large = large.join(central, "grp").withColumn("main", both >= similarity * (F.size("s") + F.size("sc") - both) - 1e-9)
+        large = cut_lineage(large.select("grp", "cid", "centre", "s", "main"))
+        starred = large.where("main and cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
+        rest = _in_blocks(large.drop("centre"), "grp").groupBy("gid").applyInArrow(_exact_links(similarity), "a long, b long")
+        links = links.unionByName(starred).unionByName(rest)
+    return connected_components(links).withColumnRenamed("node", "cid")
 
 
 def drop_near_texts(docs: DataFrame, similarity: float = 0.8, words: int = 5, recall: float = 0.99, id: str = "doc_id", text: str = "text") -> DataFrame:
