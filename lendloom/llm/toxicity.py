@@ -107,30 +107,41 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, id: str = "
     return own.join(F.broadcast(known), "k").select("text", "label")  # at most max_rows rows of two numbers
 
 
-def _feature_counts(rows: DataFrame, of_label: int, among: tuple[str, ...] | None) -> DataFrame:
-    """(feature, n): in how many texts with this label each feature occurs, of the features in `among` if given."""
+def _feature_counts(rows: DataFrame, most_held: int = 1 << 18) -> DataFrame:
+    """(feature, toxic, other): in how many texts of either label each feature occurs. A task's counts go on when it holds
+    over most_held of them, and are added up in Spark."""
+    schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("other", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, counts = FeatureCache(None if among is None else {f: i for i, f in enumerate(among)}), Counter()
-        for (text,) in rows_of(batches):
-            counts.update(cache.of_text(text.decode("utf-8", "replace").lower()))
-        found = list(counts) if among is None else [among[i] for i in counts]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
+        cache, counts = FeatureCache(), (Counter(), Counter())
 
-    return rows.where(F.col("label") == of_label).select("text").mapInArrow(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+        def found() -> pa.RecordBatch:
+            features = list(counts[0] | counts[1])
+            out = pa.RecordBatch.from_arrays([pa.array(features, pa.string()), *(pa.array([counts[label][f] for f in features], pa.int64()) for label in (1, 0))], schema=schema)
+            for c in counts:
+                c.clear()
+            return out
+
+        for text, label in rows_of(batches):
+            counts[label == 1].update(cache.of_text(text.decode("utf-8", "replace").lower()))
+            if len(counts[0]) + len(counts[1]) > most_held:
+                yield found()
+        yield found()
+
+    return rows.select("text", "label").mapInArrow(count, "feature string, toxic long, other long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
 def choose_features(rows: DataFrame, most: int, support: float = 0.005, lift: float = 8.0) -> tuple[str, ...]:
-    """Features that mark toxic texts: in at least this share of them, and this many times as often as in others."""
+    """The `most` features that mark toxic texts best: in at least this share of them, and this many times as often as in
+    others. They are counted and ranked in Spark, by the number of toxic texts times the logarithm of the odds."""
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, other = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not other:
         return ()
-    held = {r.feature: r.n for r in _feature_counts(rows, 1, None).where(F.col("n") >= max(3, support * toxic)).orderBy(F.desc("n"), "feature").limit(1 << 17).collect()}
-    against = {r.feature: r.n for r in _feature_counts(rows, 0, tuple(held)).collect()} if held else {}
-    odds = {f: (n / toxic) / ((against.get(f, 0) + 1) / (other + 1)) for f, n in held.items()}
-    worth = {f: held[f] * np.log(x) for f, x in odds.items() if x >= lift}
-    return tuple(sorted(sorted(worth, key=lambda f: (-worth[f], f))[:most]))
+    held = _feature_counts(rows).where(F.col("toxic") >= max(3, support * toxic))
+    odds = (F.col("toxic") / toxic) / ((F.col("other") + 1) / (other + 1))
+    best = held.withColumn("odds", odds).where(F.col("odds") >= lift).orderBy((F.col("toxic") * F.log("odds")).desc(), "feature").limit(most)
+    return tuple(sorted(r.feature for r in best.select("feature").collect()))
 
 
 def fit(rows: DataFrame, most_features: int = 2048, swap_penalty: float = 2.0, ridge: float = 1e-5, steps: int = 600) -> Model:
@@ -188,8 +199,8 @@ def fit(rows: DataFrame, most_features: int = 2048, swap_penalty: float = 2.0, r
 def with_score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """docs with the model's probability that the whole text is toxic. A null or empty text has no features.
 
-    Only the text is looked at. Repeated rows each get their score; an input column called `name` is replaced; other columns
-    pass through.
+    Only the text is looked at, all of it however long. Repeated rows each get their score, equal texts an equal one; an
+    input column called `name` is replaced; other columns pass through. An empty table gives none.
     """
     chosen = {f: i for i, (f, w) in enumerate(zip(model.features, model.weights, strict=True)) if w > 0}
     weights, bias = np.array(model.weights), model.bias
