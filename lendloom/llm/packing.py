@@ -30,6 +30,7 @@ class SumOfSquares:
         self.window = window
         self.count = np.zeros(window + 1, np.int64)
         self.open: list[list[list]] = [[] for _ in range(window + 1)]
+        self.n_open = 0
 
     def level_for(self, size: int) -> int:
         """Fill level to place an item of this size on; 0 opens a window. Of equal levels the fullest wins."""
@@ -47,17 +48,46 @@ class SumOfSquares:
         """Puts an item in; returns the window's items if that fills it."""
         level = self.level_for(size)
         if level:
-            self.count[level] -= 1
+            self._take_from(level)
             window = self.open[level].pop()
         else:
             window = []
         window.append(item)
         if level + size == self.window:
             return window
-        self.count[level + size] += 1
-        self.open[level + size].append(window)
+        self._put_on(level + size, window)
         return None
 
+    def _take_from(self, level: int) -> None:
+        self.count[level] -= 1
+        self.n_open -= 1
+
+    def _put_on(self, level: int, window: list) -> None:
+        self.count[level] += 1
+        self.n_open += 1
+        self.open[level].append(window)
+
+    def place_within(self, item: tuple, size: int, most_open: int) -> Iterator[list]:
+        """Puts an item in and gives the windows that this fills, with no more than most_open windows open after it.
+
+        An item that would open one more goes to a window of the most crowded level, which lowers the sum of squares most;
+        what doesn't fit there is cut off and placed as an item of its own.
+        """
+        while size and self.n_open >= most_open and self.level_for(size) == 0:
+            level = int(np.argmax(self.count))
+            part = min(size, self.window - level)
+            first, item = _cut(item, part)
+            window = self.open[level].pop()
+            window.append(first)
+            size -= part
+            self._take_from(level)
+            if level + part == self.window:
+                yield window
+            else:
+                self._put_on(level + part, window)
+        if size and (full := self.place(item, size)):
+            yield full
+
     def rest(self) -> list[list]:
         """The windows that are still open, the fullest first."""
         return [w for level in reversed(self.open) for w in level]
@@ -137,29 +167,25 @@ def pack_online(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1,
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all documents, packed into windows.
 
     Each partition is a stream: a document's whole windows stand alone, its remainder goes to the fill level that minimises
-    the sum of squares. No shuffle; a task keeps only its open windows. At the end of a partition, and whenever over
-    `most_open` windows are open, these are poured together, which cuts pieces; less than a window is then left, and goes
-    into sequences of power-of-two lengths, which need no padding. A null or empty text is its end_id alone. Repeated rows
-    are packed each; other columns are not carried. A lost partition is packed again as a whole.
+    the sum of squares. No shuffle; a task keeps only its open windows, `most_open` at most: a remainder that would open
+    another one is cut to fill an open one first. At the end of a partition the open windows are poured together, which cuts
+    pieces; less than a window is then left, and goes into sequences of power-of-two lengths, which need no padding.
+
+    A null or empty text is its end_id alone; a long text is cut into whole windows and a remainder. Repeated rows are
+    packed each; an empty table gives none; other columns are not carried. A lost partition is packed again as a whole.
     """
     kind = docs.schema[id].dataType
     schema = pa.schema([("id", to_arrow_type(kind)), *((n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def windows() -> Iterator[list]:
-            packer, opened = SumOfSquares(window), 0
+            packer = SumOfSquares(window)
             for doc, ids in documents_as_ids(batches, path, end_id):
                 whole = len(ids) // window * window
                 for start in range(0, whole, window):
                     yield [(doc, start, ids[start : start + window], len(ids))]
                 if size := len(ids) - whole:
-                    full = packer.place((doc, whole, ids[whole:].copy(), len(ids)), size)
-                    if full:
-                        yield full
-                    opened = int(packer.count.sum()) if not full else opened
-                    if opened > most_open:
-                        rest, packer, opened = packer.rest(), SumOfSquares(window), 0
-                        yield from close_windows(rest, window)
+                    yield from packer.place_within((doc, whole, ids[whole:].copy(), len(ids)), size, most_open)
             yield from close_windows(packer.rest(), window)
 
         first = TaskContext.get().partitionId() << LOCAL_BITS
