@@ -40,7 +40,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack_matrices(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
-    return rows.select("sequence_id", "doc_ids", "starts", "cu_seqlens", "position_resets", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return rows.withColumn("ids_crc32", F.crc32("ids"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
