@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -75,42 +76,83 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     A source's documents are shuffled by a hash of id and text. A copy's virtual finish time is its source's words up to it,
     in that order, divided by the source's target; a second round follows the first, so a document is taken twice at most.
     All copies are then cut at one finish time, the latest at which the mix holds no more than its budget, so each source is
-    within about a document of its target. A source's words are added up in 4096 cells of the hash and then within each, so
-    a source with most rows is dealt out like any other. Null texts have size 0 and are never taken; a null source is a
-    source of its own, in the last place. Repeated rows are documents of their own. An empty table gives no rows.
+    within about a document of its target. The cut is searched by adding up the copies in steps of the time, which gives the
+    place that sorting all of them would. A source's words are added up in 4096 cells of the hash and then within each, so
+    a source with most rows is dealt out like any other; rows equal in id, source and text are one row with a count until
+    the end. Null and empty texts have size 0 and are never taken; a long text is one document; a null source is a source of
+    its own, in the last place. An empty table gives no rows.
     """
-    return _mixed(docs, id, text, source, seed).select(F.col("id").alias(id), "size", "source_size", "target", "taken")
+    rows, cut = _mixed(docs, id, text, source, seed)
+    out = rows.withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    taken = sum((F.when(_finish(k, F.col("j")) <= F.lit(cut), F.col("size")).otherwise(F.lit(0)) for k in range(MOST)), F.lit(0))
+    return out.select(F.col("id").alias(id), "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def _mixed(docs: DataFrame, id: str, text: str, source: str, seed: str) -> DataFrame:
+def _broadcast_if_few(sources: DataFrame) -> DataFrame:
+    """A table of a row a source: with up to BROADCAST_SOURCES rows it is broadcast, else Spark joins by source and splits a
+    hot one. Both give the same rows."""
+    return F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
+
+
+def _finish(k: int, j: Column) -> Column:
+    """Virtual finish time of a row's j-th equal document in round k; null for what is never taken."""
+    words = F.col("before") + j * F.col("size") + k * F.col("source_size")
+    return F.when((F.col("target") > 0) & (F.col("size") > 0), words / F.col("target"))
+
+
+def _mixed(docs: DataFrame, id: str, text: str, source: str, seed: str) -> tuple[DataFrame, float]:
+    """Rows (id, source, rank, h, size, n, source_size, target, before) of n equal documents each, and the time of the cut.
+
+    before: the words of the source's documents that come earlier.
+    """
     rows = docs.select(F.col(id).alias("id"), F.col(source).alias("source"), F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"), shuffle_key(id, text, seed).alias("h"))
-    rows = cut_lineage(rows)
-    targets = cut_lineage(source_targets(rows))
-    if targets.count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
-    rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).select("id", "size", "source_size", "target", "rank", "h", F.substring("h", 1, 3).alias("cell"))
-    cells = rows.groupBy("rank", "cell").agg(F.sum("size").alias("words"))
-    cells = cells.select("rank", "cell", F.coalesce(F.sum("words").over(W.partitionBy("rank").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    so_far = F.sum("size").over(W.partitionBy("rank", "cell").orderBy("h", "id", "size").rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.withColumn("words", so_far).join(cells, ["rank", "cell"]).withColumn("words", F.col("words") + F.col("before"))
-    finish = [F.when((F.col("target") > 0) & (F.col("size") > 0), (F.col("words") + k * F.col("source_size")) / F.col("target")) for k in range(MOST)]
-    rows = cut_lineage(rows.select("id", "h", "size", "source_size", "target", *(f.alias(f"f{k}") for k, f in enumerate(finish))))
-    copies = rows.select(F.explode(F.array(*(F.col(f"f{k}") for k in range(MOST)))).alias("finish"), "size").where("finish is not null")
-    budget = (rows.agg(F.sum("size")).first()[0] or 0) * SHARE
-    cut = _cut(copies, budget)
-    taken = sum((F.when(F.col(f"f{k}") <= F.lit(cut), F.col("size")).otherwise(F.lit(0)) for k in range(MOST)), F.lit(0))
-    return rows.withColumn("taken", taken.cast("long"))
+    rows = cut_lineage(rows.groupBy("id", "source", "size", "h").agg(F.count("*").alias("n")))
+    targets = cut_lineage(source_targets(rows.select("source", (F.col("size") * F.col("n")).alias("size"))))
+    targets = _broadcast_if_few(targets)
+    rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).select("id", rows["source"], "size", "n", "source_size", "target", "rank", "h", F.substring("h", 1, 3).alias("cell"))
+    words = F.sum(F.col("size") * F.col("n"))
+    cells = rows.groupBy("rank", "cell").agg(words.alias("words"))
+    cells = cells.select("rank", "cell", F.coalesce(F.sum("words").over(W.partitionBy("rank").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("cell_before"))
+    earlier = words.over(W.partitionBy("rank", "cell").orderBy("h", "id", "size").rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("earlier", F.coalesce(earlier, F.lit(0))).join(cells, ["rank", "cell"]).withColumn("before", F.col("earlier") + F.col("cell_before"))
+    rows = cut_lineage(rows.select("id", "source", "rank", "h", "size", "n", "source_size", "target", "before"))
+    each = rows.withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    copies = each.select(F.explode(F.array(*(_finish(k, F.col("j")) for k in range(MOST)))).alias("finish"), "size").where("finish is not null")
+    budget = (rows.agg(words).first()[0] or 0) * SHARE
+    return rows, _cut(copies, budget)
 
 
 def take_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """docs as the mix takes them: a document that it takes twice has two rows, one that it doesn't take has none.
 
-    The texts meet the narrow list of what is taken in one shuffle, by the hash of id and text; rows equal in both are
-    numbered on either side, so that each meets one.
+    As a source's documents are taken in the order of their hash until the cut, one hash for each source and round says
+    which rows are taken, and the texts stay where they are. Texts without words are never taken. Only where the cut falls between rows equal in id, source and
+    text are these rows numbered. An empty table gives none.
     """
-    h, k, times, copy = (free_name(docs, n) for n in ("_h", "_k", "_times", "_copy"))
-    number = F.row_number().over(W.partitionBy(h).orderBy(h)).alias(k)
-    taken = _mixed(docs, id, text, source, SEED).where("taken > 0").select(F.col("h").alias(h), F.expr("int(taken div size)").alias(times))
-    own = docs.withColumn(h, shuffle_key(id, text, SEED)).select("*", number)
-    joined = own.join(taken.select(h, times, number), [h, k])
-    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    h, bound, times, number, copy = (free_name(docs, n) for n in ("_h", "_bound", "_times", "_number", "_copy"))
+    rows, cut = _mixed(docs, id, text, source, SEED)
+    found = rows.select("source", "h", "n", *(_taken_of(k, cut).alias(f"t{k}") for k in range(MOST)))
+    last = [F.max(F.when(F.col(f"t{k}") > 0, F.struct("h", "n", F.col(f"t{k}").alias("t")))).alias(f"last{k}") for k in range(MOST)]
+    bounds = cut_lineage(found.groupBy("source").agg(*last).select(F.struct("source", *(f"last{k}" for k in range(MOST))).alias(bound)))
+    own = docs.where(F.col(text).rlike(WORD)).withColumn(h, shuffle_key(id, text, SEED)).join(_broadcast_if_few(bounds), F.col(source).eqNullSafe(F.col(f"{bound}.source")))
+
+    def in_rounds(condition: Callable[[Column], Column]) -> Column:
+        """In how many rounds a row meets a condition on the round's last hash."""
+        return sum((F.when(condition(F.col(f"{bound}.last{k}")), 1).otherwise(0) for k in range(MOST)), F.lit(0))
+
+    at_cut = in_rounds(lambda last: (last["h"] == F.col(h)) & (last["t"] < last["n"])) > 0
+    taken = own.where(~at_cut).withColumn(times, in_rounds(lambda last: F.col(h) <= last["h"]))
+    if not bounds.where(" or ".join(f"{bound}.last{k}.t < {bound}.last{k}.n" for k in range(MOST))).isEmpty():
+        equal = own.where(at_cut).withColumn(number, F.row_number().over(W.partitionBy(source, h).orderBy(h)))
+        some = in_rounds(lambda last: (F.col(h) < last["h"]) | ((F.col(h) == last["h"]) & (F.col(number) <= last["t"])))
+        taken = taken.unionByName(equal.withColumn(times, some).drop(number))
+    return taken.where(F.col(times) > 0).withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(times)))).select(*docs.columns)
+
+
+def _taken_of(k: int, cut: float) -> Column:
+    """How many of a row's n equal documents are taken in round k: those that finish by the cut, which are the first ones."""
+    guess = F.floor((F.lit(cut) * F.col("target") - k * F.col("source_size") - F.col("before")) / F.col("size"))
+    near = F.greatest(F.lit(0), F.least(F.col("n"), guess.cast("long")))
+    more, less = F.least(F.col("n"), near + 1), F.greatest(F.lit(0), near - 1)
+    first = F.when(_finish(k, more) <= F.lit(cut), more).when((near > 0) & (_finish(k, near) <= F.lit(cut)), near).when((less > 0) & (_finish(k, less) <= F.lit(cut)), less).otherwise(F.lit(0))
+    return F.when(F.col("size") > 0, first).otherwise(F.lit(0)).cast("long")

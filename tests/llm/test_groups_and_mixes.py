@@ -144,6 +144,42 @@ def test_taken_documents_come_as_often_as_they_are_taken(spark):
     assert dict(got) == dict(want)
 
 
+def test_mix_of_one_row_repeated_many_times(spark):
+    """A third of all rows are one row; the cut falls between them. The texts are taken as often as the plain list says."""
+    repeated = spark.range(20_000).selectExpr("cast(7 as long) as doc_id", "'a b c' as text", "'hot' as source")
+    others = spark.range(40_000).selectExpr("id + 100 as doc_id", "concat('w ', id % 7) as text", "if(id % 2 = 0, 'hot', 'cold') as source")
+    docs = repeated.unionByName(others)
+    mixed = mixing.mix(docs).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.expr("taken div size")).alias("times"), F.max("taken").alias("most"))
+    got = {r.doc_id: (r.n, r.times) for r in mixed.collect()}
+    assert got[7][0] == 20_000 and len(got) == 40_001
+    hot = mixing.mix(docs).where("source_size = 100000").agg(F.sum("taken").alias("t"), F.first("target").alias("target")).first()
+    assert abs(hot.t - hot.target) <= 4
+    taken = {r.doc_id: r.n for r in mixing.take_mix(docs).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert taken == {d: t for d, (_, t) in got.items() if t}
+
+
+def test_mix_takes_what_sorting_all_copies_by_finish_time_takes(spark):
+    """The cut by steps of time against the plain way: sort every copy of every document, stop at the budget."""
+    rng = random.Random(12)
+    rows = [(i % 700, " ".join(["w"] * rng.randint(0, 9)), rng.choice(["a", "b", None])) for i in range(900)]
+    rows += rows[:40]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    keyed = docs.select("doc_id", "source", F.size(F.regexp_extract_all("text", F.lit("w"), F.lit(0))).alias("size"), mixing.shuffle_key("doc_id", "text", mixing.SEED).alias("h")).collect()
+    sizes, target = plain_mix([(r.doc_id, r.source, r.size) for r in keyed])
+    copies, words = [], defaultdict(int)
+    for n, r in enumerate(sorted(keyed, key=lambda r: (str(r.source), r.h, r.doc_id, r.size))):
+        words[r.source] += r.size
+        if r.size and target[r.source]:
+            copies += [((words[r.source] + k * sizes[r.source]) / target[r.source], r.size, n) for k in (0, 1)]
+    want, held, copies = 0, 0, sorted(copies)
+    for finish, group in ((f, [c for c in copies if c[0] == f]) for f in sorted({c[0] for c in copies})):
+        held += sum(c[1] for c in group)
+        if held > 1.5 * sum(sizes.values()):
+            break
+        want += sum(c[1] for c in group)
+    assert mixing.mix(docs).agg(F.sum("taken")).first()[0] == want
+
+
 def sentences(spark):
     """Toxic sentences mention a group more often than others do, but what makes them toxic is the insult."""
     rng = random.Random(8)
@@ -177,6 +213,36 @@ def test_insults_behind_long_unspaced_runs_count(spark):
     assert inner > 0.5 and last > 0.5 and clean < 0.1
 
 
+def plain_features(text):
+    out = set()
+    for token in text.lower().split():
+        word = token.strip(".,;:!?()[]'\"_-")
+        marked = f"^{word}$"
+        if word:
+            out |= {marked} | {marked[i : i + n] for n in (4, 5, 6) for i in range(len(marked) - n + 1)}
+    return out
+
+
+def test_features_and_scores_are_those_of_a_plain_version(spark):
+    rows = [(r.text, r.toxic) for r in sentences(spark).where("doc_id < 600").collect()] + [("A (moron)! tree.", 1), ("", 0), ("lamp, lamp; MORON", 1)]
+    frame = spark.createDataFrame(rows, "text string, label int").select(F.col("text").cast("binary").alias("text"), "label").repartition(3)
+    count = [defaultdict(int), defaultdict(int)]
+    for text, label in rows:
+        for f in plain_features(text):
+            count[label][f] += 1
+    toxic = sum(label for _, label in rows)
+    odds = {f: (n / toxic) / ((count[0][f] + 1) / (len(rows) - toxic + 1)) for f, n in count[1].items() if n >= max(3, 0.005 * toxic)}
+    worth = {f: count[1][f] * math.log(x) for f, x in odds.items() if x >= 8}
+    assert len(worth) > 20 and toxicity.choose_features(frame, 10_000) == tuple(sorted(worth))
+    best = sorted(worth, key=lambda f: (-worth[f], f))
+    assert toxicity.choose_features(frame, 7) == tuple(sorted(best[:7]))
+    model = toxicity.fit(frame)
+    weight = dict(zip(model.features, model.weights, strict=True))
+    for r in toxicity.with_score(spark.createDataFrame([(t,) for t, _ in rows], "text string"), model).collect():
+        z = model.bias + sum(weight.get(f, 0.0) for f in plain_features(r.text))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12)
+
+
 def test_classifier_holds_out_and_generalises(spark):
     docs, labels = spark.read.parquet(f"{SF}/../sf0.1/documents.parquet"), spark.read.parquet(f"{SF}/../sf0.1/labels.parquet")
     model = toxicity.train(docs, labels)
@@ -184,6 +250,7 @@ def test_classifier_holds_out_and_generalises(spark):
     toxic, other = [r.score for r in held if r.toxic], [r.score for r in held if not r.toxic]
     assert np.mean([a > b for a in toxic for b in other]) > 0.9
     assert np.mean([s >= 0.3 for s in other]) < 0.03
+    assert np.mean([s >= 0.3 for s in toxic]) > 0.8
 
 
 def test_classifier_over_odd_rows(spark):

@@ -122,6 +122,20 @@ def test_packing_loses_nothing_and_pads_nothing(spark, tokenizer, most_open):
     assert packing.pack_online(empty_docs(spark), PATH).count() == 0
 
 
+def test_no_more_windows_than_allowed_are_open():
+    """Remainders of which no two fit a window: without cutting, each would open another one."""
+    packer, rng, held, full = packing.SumOfSquares(64), random.Random(2), 0, 0
+    for n in range(3000):
+        size = 33 + rng.randint(0, 3)
+        for window in packer.place_within((n, 0, np.full(size, n, "<u4"), size), size, 20):
+            assert sum(len(p[2]) for p in window) == 64
+            full += 1
+        held += size
+        assert packer.n_open == sum(map(len, packer.open)) == packer.count.sum() <= 20
+        assert [len(w) for w in packer.open] == packer.count.tolist()
+    assert held == 64 * full + sum(len(p[2]) for w in packer.rest() for p in w)
+
+
 def test_sum_of_squares_picks_the_least_growth():
     packer, rng = packing.SumOfSquares(64), random.Random(1)
     for _ in range(400):
