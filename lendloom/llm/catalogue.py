@@ -64,6 +64,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_rules, op3_toxicity, op4_packing, op5_sharding, op6_token_matrices, op7_mixing, op8_licence_scan, op9_simhash_near_dedup, op10_token_counts)}
 
+OP1 = """
+with recursive e as (select row_number() over () as r, vec_id, embedding::double[] as v,
+    embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0 as ok from embeddings),
+link as (select a.r as x, b.r as y from e a join e b on a.r <> b.r and a.ok and b.ok and len(a.v) = len(b.v) where case when a.ok and b.ok and len(a.v) = len(b.v) then list_cosine_similarity(a.v, b.v) >= 0.95 end),
+reach as (select r as x, r as y from e union select reach.x, link.y from reach join link on reach.y = link.x),
+least as (select x, min(vec_id) as component_id from reach join e on e.r = reach.y group by x),
+n as (select x, count(*) as n_links from link group by x)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, coalesce(vec_id = component_id, true) as kept from e join least on least.x = e.r left join n on n.x = e.r
+"""
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP2 = rf"""
@@ -130,4 +140,4 @@ select doc_id, {_whole("lines")} as text_digest, k.licence as text_licence, coal
 from d left join found using (r) left join known k on k.digest = {_whole("lines")}
 """
 
-ORACLE_SQL = {"op2_quality_rules": OP2, "op7_mixing": OP7, "op8_licence_scan": OP8}
+ORACLE_SQL = {"op1_embedding_near_dedup": OP1, "op2_quality_rules": OP2, "op7_mixing": OP7, "op8_licence_scan": OP8}

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -60,8 +61,44 @@ def test_large_components_are_counted_in_blocks(spark, monkeypatch):
     assert [r.n_links for r in sorted(got)] == want.tolist()
 
 
-def test_more_passes_for_more_vectors():
-    assert [embeddings.passes_needed(n, 0.95, 256, 0.999) for n in (10, 256, 50_000)] == [1, 1, math.ceil(math.log(0.001) / math.log(1 - (1 - math.acos(0.95) / math.pi) ** math.log2(50_000 / 256)))]
+def off_centre(n, background, share, rng, dim=64):
+    """n vectors of which a share has this cosine with one another, and 500 pairs among these at cosine 0.955."""
+    mean = np.eye(dim)[0]
+    x = rng.standard_normal((n, dim))
+    own = int(n * share)
+    x[:own, 0] = 0
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:own] = math.sqrt(background) * mean + math.sqrt(1 - background) * x[:own]
+    for i in range(0, 1000, 2):
+        away = rng.standard_normal(dim)
+        away -= (away @ x[i]) * x[i]
+        x[i + 1] = 0.955 * x[i] + math.sqrt(1 - 0.955**2) * away / np.linalg.norm(away)
+    return x
+
+
+@pytest.mark.parametrize(("background", "share", "n"), [(0.85, 1.0, 100_000), (0.85, 1 / 3, 30_000)])
+def test_recall_where_vectors_are_dense(spark, background, share, n):
+    x = off_centre(n, background, share, np.random.default_rng(5))
+    unit = x[:1000] / np.linalg.norm(x[:1000], axis=1, keepdims=True)
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))})
+    got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(table)).where("vec_id < 1000").collect()}
+    assert min(float(unit[i] @ unit[i + 1]) for i in range(0, 1000, 2)) > 0.95
+    met = [got[i].component_id == got[i + 1].component_id for i in range(0, 1000, 2)]
+    assert np.mean(met) >= 0.95
+    linked = (unit @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T >= 0.95).sum(axis=1) - 1
+    assert all(got[i].n_links <= linked[i] for i in range(1000))
+    assert sum(r.n_links for r in got.values()) >= 0.95 * linked.sum()
+
+
+def test_pairs_at_the_threshold_and_null_ids(spark):
+    at, below = [0.95, math.sqrt(1 - 0.95**2)], [0.95 - 1e-9, math.sqrt(1 - (0.95 - 1e-9) ** 2)]
+    unit = [np.array(v) / np.linalg.norm(v) for v in (at, below)]
+    rows = [(1, [1.0, 0.0]), (2, at), (None, [0.0, -1.0]), (None, [0.0, -2.0]), (4, [-1.0, 0.0]), (5, [-below[0], below[1]])]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    of = {r.vec_id: r for r in got if r.vec_id is not None}
+    assert of[1].n_links == of[2].n_links == int(unit[0][0] >= 0.95)
+    assert of[4].n_links == of[5].n_links == int(unit[1][0] >= 0.95) == 0
+    assert [tuple(r) for r in got if r.vec_id is None] == [(None, 1, None, True)] * 2
 
 
 def test_shards_are_even_gapless_and_repeatable(spark):
