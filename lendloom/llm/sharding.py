@@ -53,14 +53,15 @@ def place_cells(cells: DataFrame, shards: int, nodes: int) -> DataFrame:
         fits = before + F.col("size") <= share if fitting else (before < share) | F.lit(share == 0)
         tried = cut_lineage(_clockwise(waiting, ring.where(F.col("shard").isin(is_open))).withColumn("fits", fits))
         placed.append(tried.where("fits").select("cell", "rows", "shard"))
-        for r in tried.groupBy("shard", "fits").agg(F.sum("size").alias("size")).collect():
+        loads = tried.groupBy("shard", "fits").agg(F.sum("size").alias("size")).collect()
+        for r in loads:
             if r.fits:
                 used[r.shard] += r.size
             else:
                 fitting.discard(r.shard)
-        waiting = tried.where("not fits").select("cell", "size", "rows")
-        if waiting.isEmpty():
+        if all(r.fits for r in loads):
             break
+        waiting = tried.where("not fits").select("cell", "size", "rows")
     out = placed[0]
     for more in placed[1:]:
         out = out.unionByName(more)
@@ -70,18 +71,21 @@ def place_cells(cells: DataFrame, shards: int, nodes: int) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = 40, nodes: int = 128, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard) of each document; law is `bytes`: sizes near equal.
 
-    A document's place on the ring is the hash of its id, so equal texts spread out. Sizes are the text's UTF-8 bytes (a
-    null text has none) plus 16. The ring's cells are summed up first, so that what is placed doesn't grow with the input;
-    only ids, sizes and checksums are shuffled, once, by cell. slot counts from 0 within a shard, by cell and then id. Rows
-    equal in id and text are interchangeable and stay together. grown_shard is null, as this law moves rows between old
-    shards too. An empty table gives no rows; other columns are not carried.
+    A document's place on the ring is the hash of its id and checksum, so that equal texts of different ids spread out: to
+    keep groups of equal texts together would break the law where one group holds a third of all rows. Rows equal in id,
+    size and checksum are counted before anything else, and each is placed by its number, so these spread out too. Sizes are
+    the text's UTF-8 bytes (a null or empty text has none) plus 16; a long text is one document. The ring's cells are summed
+    up first, so that what is placed doesn't grow with the input; only ids, sizes and checksums are shuffled. slot counts
+    from 0 within a shard, by cell and then id. grown_shard is null, as this law moves rows between old shards too. An empty
+    table gives no rows; other columns are not carried.
     """
     body = text_bytes(text)
-    cell = F.shiftrightunsigned(F.xxhash64(F.lit(DOCUMENT), F.col(id), F.crc32(body)), 64 - CELL_BITS).cast("int")
-    rows = cut_lineage(docs.select(F.col(id).alias("id"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), cell.alias("cell")))
+    cell = F.shiftrightunsigned(F.xxhash64(F.lit(DOCUMENT), F.col("id"), F.col("text_crc32"), F.col("number")), 64 - CELL_BITS).cast("int")
+    equal = docs.select(F.col(id).alias("id"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32")).groupBy("id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    rows = cut_lineage(equal.select("id", "size", "text_crc32", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("number")).withColumn("cell", cell))
     cells = cut_lineage(rows.groupBy("cell").agg(F.sum("size").alias("size"), F.count("*").alias("rows")))
     before = F.coalesce(F.sum("rows").over(W.partitionBy("shard").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     at = place_cells(cells, shards, nodes).select("cell", "shard", before.alias("before"))
-    within = F.row_number().over(W.partitionBy("cell").orderBy("id", "text_crc32", "size"))
+    within = F.row_number().over(W.partitionBy("cell").orderBy("id", "text_crc32", "size", "number"))
     joined = rows.join(F.broadcast(at), "cell")  # at most 2**16 rows of 16 bytes
     return joined.select(F.col("id").alias(id), "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), (F.col("before") + within - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -119,11 +119,53 @@ def test_shards_are_even_gapless_and_repeatable(spark):
     assert sharding.shard_documents(docs_frame(spark)).count() == docs_frame(spark).count()
 
 
+def plain_ring(cells, nodes, shards):
+    """cells {cell: size} on a ring with nodes {cell: shard}: each goes clockwise until a shard takes it."""
+    share, used, fitting, waiting, at = sum(cells.values()) / shards, [0] * shards, set(range(shards)), dict(cells), {}
+    while waiting:
+        open_ = fitting or {s for s in range(shards) if used[s] < share} or set(range(shards))
+        ring = sorted((c, s) for c, s in nodes.items() if s in open_)
+        by_shard = defaultdict(list)
+        for c in waiting:
+            by_shard[next((s for p, s in ring if p >= c), ring[0][1])].append(c)
+        tried, full = dict(used=list(used)), set()
+        for s, own in by_shard.items():
+            before = used[s]
+            for c in sorted(own, key=lambda c: (-waiting[c], c)):
+                if before + waiting[c] <= share if fitting else before < share or share == 0:
+                    at[c] = s
+                    tried["used"][s] += waiting[c]
+                else:
+                    full.add(s)
+                before += waiting[c]
+        used, fitting = tried["used"], fitting - full
+        waiting = {c: n for c, n in waiting.items() if c not in at}
+    return at
+
+
+@pytest.mark.parametrize(("shards", "most"), [(3, 5), (10, 40)])
+def test_cells_are_placed_as_on_a_plain_ring(spark, shards, most):
+    rng = random.Random(shards)
+    cells = {c: rng.randint(1, most) ** 2 for c in rng.sample(range(1 << 16), 400)}
+    nodes = {r.cell: r.shard for r in sharding.virtual_nodes(spark, shards, 16).collect()}
+    frame = spark.createDataFrame([(c, n, 1) for c, n in cells.items()], "cell int, size long, rows long")
+    assert {r.cell: r.shard for r in sharding.place_cells(frame, shards, 16).collect()} == plain_ring(cells, nodes, shards)
+
+
 def test_few_cells_move_when_a_shard_is_added(spark):
-    cells = spark.range(2000).select(F.col("id").cast("int").alias("cell"), F.lit(10).cast("long").alias("size"), F.lit(1).cast("long").alias("rows"))
+    """An eleventh shard must take a eleventh of the cells; not much more than that moves."""
+    cells = spark.range(1 << 16).select(F.col("id").cast("int").alias("cell"), (F.pmod(F.xxhash64("id"), F.lit(90)) + 50).cast("long").alias("size"), F.lit(1).cast("long").alias("rows"))
     at = [{r.cell: r.shard for r in sharding.place_cells(cells, n, 128).collect()} for n in (10, 11)]
     moved = sum(at[0][c] != at[1][c] for c in at[0])
-    assert moved < 0.45 * 2000
+    assert moved < 0.15 * (1 << 16)
+
+
+def test_one_row_repeated_many_times_is_spread_over_the_shards(spark):
+    docs = spark.range(100_000).selectExpr("cast(7 as long) as doc_id", "'the same' as text").unionByName(spark.range(50_000).selectExpr("id as doc_id", "repeat('x', cast(id % 50 as int)) as text"))
+    got = sharding.shard_documents(docs, shards=10).groupBy("shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last")).collect()
+    share = sum(r.bytes for r in got) / 10
+    assert sum(r.n for r in got) == 150_000 and all(r.n == r.slots == r.last + 1 for r in got)
+    assert all(0.98 * share < r.bytes < 1.02 * share for r in got)
 
 
 def plain_mix(rows):
