@@ -86,14 +86,18 @@ five as (select r, pos, word, word = lag(word) over o as stutter,
 found as (select r, pos, stutter, (five is not null and count(*) over (partition by r, five) > 1)::int as again from five),
 covered as (select r, stutter, max(again) over (partition by r order by pos rows between 4 preceding and current row) as again from found),
 sums as (select r, sum(again)::bigint as n_repeat_words, count(*) filter (where stutter) as n_stutter from covered group by r),
+top as (select r, max(n) as n_top_word from (select r, word, count(*) as n from w group by r, word) group by r),
 base as (select doc_id, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, len(lines)::bigint as n_lines,
-    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_stutter, 0) as n_stutter
-    from d left join sums using (r))
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_stutter, 0) as n_stutter, coalesce(n_top_word, 0) as n_top_word,
+    len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) as n_letter_words,
+    len(list_filter(lines, lambda x: regexp_matches(x, '([.][.][.]|…)[\x20\x09-\x0D]*$'))) as n_cut_lines, len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*([-*]\x20|•)'))) as n_bullet_lines
+    from d left join sums using (r) left join top using (r))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
     not (n_words < 10 or 100 * n_repeat_words > 20 * n_words or 10 * n_symbols > n_words or 5 * n_stutter > n_words or 2 * n_dup_lines > n_lines
-        or word_chars < 2 * n_words or word_chars > 100 * n_words) as kept
+        or word_chars < 2 * n_words or word_chars > 100 * n_words or 10 * n_top_word > 4 * n_words or 2 * n_letter_words < n_words
+        or 10 * n_cut_lines > 3 * n_lines or (n_lines > 1 and 10 * n_bullet_lines > 9 * n_lines)) as kept
 from base
 """
 
