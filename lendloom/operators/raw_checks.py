@@ -5,32 +5,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.functions.expressions import blank_to_null, variant_text
+from lendloom.functions.expressions import blank_to_null, has_field, variant_text
 from lendloom.operators.validation import Reader
-from lendloom.plans.contracts import Contract
 
-AUDIT = ("ingestion_record_id", "source_system", "file_name", "load_timestamp", "batch_id")
+#: Lineage that no raw record may lack, and the statuses that the checks know.
+AUDIT = ("ingestion_record_id", "entity_name", "raw_record", "source_system", "file_type", "file_name", "load_timestamp", "batch_id", "run_mode")
+CUSTOMER_STATUSES = ("ACTIVE", "INACTIVE", "SUSPENDED")
+APPLICATION_STATUSES = ("SUBMITTED", "UNDER_REVIEW", "APPROVED", "REJECTED")
+DECIDED = ("APPROVED", "REJECTED")
+PAYMENT_FIELDS = ("payment_id", "application_id", "payment_date", "payment_amount", "payment_status", "payment_method", "updated_at")
 
 
-def raw_checks(raw: DataFrame, contract: Contract, expected_rows: int, invalid: dict[str, Column], value: Reader | None = None, key: str | None = None) -> DataFrame:
+def _any(conditions: list[Column]) -> Column:
+    """Whether one holds; unknown counts as no."""
+    out = F.lit(False)
+    for c in conditions:
+        out = out | F.coalesce(c, F.lit(False))
+    return out
+
+
+def _field(name: str) -> Column:
+    return variant_text("raw_record", name)
+
+
+def _blank(*fields: str) -> list[Column]:
+    return [blank_to_null(_field(f)).isNull() for f in fields]
+
+
+def _not_a_date(field: str) -> Column:
+    return F.try_to_date(_field(field)).isNull()
+
+
+def _not_a_time(field: str) -> Column:
+    return _field(field).try_cast("timestamp_ntz").isNull()
+
+
+def _no_amount(field: str) -> Column:
+    return _field(field).try_cast("decimal(18,2)").isNull()
+
+
+def _other_status(field: str, known: tuple[str, ...]) -> Column:
+    """Another value; a JSON null is no value."""
+    return ~F.upper(_field(field)).isin(*known)
+
+
+def _undecided() -> Column:
+    """Approved or rejected without a date of decision."""
+    return F.upper(_field("application_status")).isin(*DECIDED) & _not_a_date("decision_date")
+
+
+def raw_checks(raw: DataFrame, expected_rows: int, key: str, missing: Column, invalid: dict[str, Column], value: Reader = _field) -> DataFrame:
     """(check_name, expected_value, actual_value, variance, check_status) for one batch of raw records.
 
-    invalid: further checks, by name, as conditions that no record may meet. value reads a field of the record. The checks
-    for repeated values count the values that occur more than once.
+    missing: whether a record lacks a business field. invalid: further checks, by name, as conditions that no record may
+    meet. value reads a field of the record. The checks for repeated values count the values that occur more than once; a
+    missing id or key is a value like others, a missing hash isn't.
     """
-    value = value or (lambda f: variant_text("raw_record", f))
-    key = key or contract.primary_key_fields[0]
-    missing = F.lit(False)
-    for f in contract.required_fields[:3]:
-        missing = missing | blank_to_null(value(f)).isNull()
-    empty = F.lit(False)
-    for c in AUDIT:
-        empty = empty | F.col(c).isNull()
-    tested = raw.select("ingestion_record_id", "record_hash", value(key).alias("_key"), missing.alias("_missing"), empty.alias("_empty"), *(F.coalesce(c, F.lit(False)).alias(f"_{n}") for n, c in invalid.items()))
+    tested = raw.select("ingestion_record_id", "record_hash", value(key).alias("_key"), F.coalesce(missing, F.lit(False)).alias("_missing"), _any([F.col(c).isNull() for c in AUDIT]).alias("_empty"), *(F.coalesce(c, F.lit(False)).alias(f"_{n}") for n, c in invalid.items()))
     flat = tested.agg(F.count("*").alias("ROW_COUNT"), F.count_if("_empty").alias("NULL_MANDATORY_AUDIT_COLUMNS"), F.count_if(F.col("record_hash").isNull()).alias("NULL_RECORD_HASH"), F.count_if("_missing").alias("MISSING_BUSINESS_FIELDS"), *(F.count_if(f"_{n}").alias(n) for n in invalid))
     repeated = {"DUPLICATE_INGESTION_RECORD_ID": "ingestion_record_id", "DUPLICATE_RECORD_HASH": "record_hash", f"DUPLICATE_{key.upper()}": "_key"}
     values = tested.select(F.explode(F.array(*(F.struct(F.lit(n).alias("check_name"), F.col(c).cast("string").alias("v")) for n, c in repeated.items()))).alias("x")).select("x.*")
-    counted = values.where("v is not null").groupBy("check_name", "v").agg(F.count("*").alias("n")).groupBy("check_name").agg(F.count_if(F.col("n") > 1).alias("actual_value"))
+    counted = values.where("v is not null or check_name <> 'DUPLICATE_RECORD_HASH'").groupBy("check_name", "v").agg(F.count("*").alias("n")).groupBy("check_name").agg(F.count_if(F.col("n") > 1).alias("actual_value"))
     names = raw.sparkSession.createDataFrame([(n,) for n in repeated], "check_name string")
     counted = names.join(counted, "check_name", "left").select("check_name", F.coalesce("actual_value", F.lit(0)).alias("actual_value"))
     rows = flat.select(F.explode(F.array(*(F.struct(F.lit(n).alias("check_name"), F.col(n).alias("actual_value")) for n in flat.columns))).alias("x")).select("x.*").unionByName(counted)
@@ -39,6 +74,38 @@ def raw_checks(raw: DataFrame, contract: Contract, expected_rows: int, invalid:
     return rows.withColumn("variance", F.col("actual_value") - F.col("expected_value")).withColumn("check_status", F.when(F.col("variance") == 0, "PASS").otherwise("FAIL"))
 
 
+def customers_checks(raw: DataFrame, expected_rows: int) -> DataFrame:
+    """The nine checks of a batch of customers. A missing status is invalid, a JSON null isn't counted."""
+    invalid = {"INVALID_CUSTOMER_STATUS": _other_status("customer_status", CUSTOMER_STATUSES) | ~has_field("raw_record", "customer_status"), "INVALID_TIMESTAMP_VALUES": _not_a_time("created_at") | _not_a_time("updated_at")}
+    return raw_checks(raw, expected_rows, "customer_id", _any(_blank("customer_id", "customer_name", "email")), invalid)
+
+
+def applications_checks(raw: DataFrame, expected_rows: int) -> DataFrame:
+    """The nine checks of a batch of applications; a date or amount that can't be read counts as missing."""
+    missing = _any([*_blank("application_id", "customer_id", "application_status"), _not_a_date("application_date"), _no_amount("requested_amount")])
+    invalid = {"INVALID_APPLICATION_STATUS": _other_status("application_status", APPLICATION_STATUSES) | ~has_field("raw_record", "application_status"), "INVALID_DECISION_DATE": _undecided()}
+    return raw_checks(raw, expected_rows, "application_id", missing, invalid)
+
+
+def _listed(raw: DataFrame, wrong: list[Column]) -> DataFrame:
+    return raw.where(_any(wrong)).select("ingestion_record_id", "file_name", "file_row_number", "raw_record")
+
+
+def invalid_customers(raw: DataFrame) -> DataFrame:
+    """Customer records that lack a business field or hold a status or time that can't be."""
+    return _listed(raw, [*_blank("customer_id", "customer_name", "email"), _other_status("customer_status", CUSTOMER_STATUSES), _not_a_time("created_at"), _not_a_time("updated_at")])
+
+
+def invalid_applications(raw: DataFrame) -> DataFrame:
+    """Application records that lack a field, hold a value that can't be, or are decided without a date."""
+    return _listed(raw, [*_blank("application_id", "customer_id"), _other_status("application_status", APPLICATION_STATUSES), _not_a_date("application_date"), _no_amount("requested_amount"), _undecided()])
+
+
+def payments_without_required_fields(raw: DataFrame) -> DataFrame:
+    """How many payment records lack a field altogether; a JSON null or an empty text is there."""
+    return raw.agg(F.count_if(_any([~has_field("raw_record", f) for f in PAYMENT_FIELDS])).alias("invalid_required_fields"))
+
+
 def status_distribution(rows: DataFrame, status: str) -> DataFrame:
     return rows.groupBy(F.col(status).alias("status")).agg(F.count("*").alias("n_records"))
 

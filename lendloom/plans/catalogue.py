@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendloom.functions.expressions import base_name, full_match, variant_text
+from lendloom.functions.expressions import base_name, blank_to_null, full_match, initcap_words, variant_text
 from lendloom.operators import assertions, current_state, gold, raw_checks, validation
 from lendloom.plans.contracts import Contract, Rule
 
@@ -77,7 +77,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw records: the payload as VARIANT, their hash, and the lineage that the checks look at."""
     e = table(spark, sf_dir, "events")
-    return e.select(F.col("event_id").cast("string").alias("ingestion_record_id"), F.try_parse_json("props").alias("raw_record"), F.sha2("props", 256).alias("payload_hash"), F.sha2(F.concat_ws("|", F.col("user_id").cast("string"), "event_type", "props"), 256).alias("record_hash"), F.col("user_id").cast("string").alias("user_id"), "event_type", F.col("value").cast("decimal(18,2)").cast("string").alias("value"), F.lit("S3").alias("source_system"), F.concat_ws("/", F.lit("events"), "event_type", F.concat(F.col("user_id").cast("string"), F.lit(".json"))).alias("file_name"), F.col("ts").alias("load_timestamp"), F.date_format("ts", "yyyyMMdd").alias("batch_id"))
+    return e.select(F.col("event_id").cast("string").alias("ingestion_record_id"), F.try_parse_json("props").alias("raw_record"), F.sha2("props", 256).alias("payload_hash"), F.sha2(F.concat_ws("|", F.col("user_id").cast("string"), "event_type", "props"), 256).alias("record_hash"), F.col("user_id").cast("string").alias("user_id"), "event_type", F.col("value").cast("decimal(18,2)").cast("string").alias("value"), F.lit("S3").alias("source_system"), F.lit("EVENTS").alias("entity_name"), F.lit("JSON").alias("file_type"), F.lit("MANUAL").alias("run_mode"), F.concat_ws("/", F.lit("events"), "event_type", F.concat(F.col("user_id").cast("string"), F.lit(".json"))).alias("file_name"), F.col("ts").alias("load_timestamp"), F.date_format("ts", "yyyyMMdd").alias("batch_id"))
 
 
 EVENT_CONTRACT = Contract("EVENTS", "1.0", "JSON", r".*[.]json", "events/", "RAW.RAW_EVENTS", ("ingestion_record_id", "user_id", "event_type", "value"), ("user_id", "event_type", "value"), ("ingestion_record_id",), (Rule("event_type", "ACCEPTED_VALUES", ("click", "View ")), Rule("value", "GREATER_THAN", bound="50"), Rule("user_id", "REGEX", pattern="[1-9][0-9]?")))
@@ -102,7 +102,7 @@ def _errors_of(code: str):
 def stg_typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     k = variant_text("raw_record", "k")
-    return plain(e.select("ingestion_record_id", F.upper(F.trim("event_type")).alias("event_type"), F.initcap("event_type").alias("event_title"), k.alias("k_text"), k.try_cast("decimal(18,2)").alias("k_amount"), k.try_cast("timestamp_ntz").alias("k_time"), F.try_to_date(F.date_format("load_timestamp", "yyyy-MM-dd")).alias("event_day"), variant_text("raw_record", "absent").alias("absent"), base_name("file_name").alias("file"), "record_hash"))
+    return plain(e.select("ingestion_record_id", F.upper(F.trim("event_type")).alias("event_type"), initcap_words(F.concat("event_type", F.lit("-OF/the day"))).alias("event_title"), k.alias("k_text"), k.try_cast("decimal(18,2)").alias("k_amount"), k.try_cast("timestamp_ntz").alias("k_time"), F.try_to_date(F.date_format("load_timestamp", "yyyy-MM-dd")).alias("event_day"), variant_text("raw_record", "absent").alias("absent"), base_name("file_name").alias("file"), "record_hash"))
 
 
 def silver_latest_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +226,8 @@ def file_skip_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     invalid = {"INVALID_EVENT_TYPE": ~F.upper("event_type").isin("CLICK", "VIEW", "PURCHASE"), "INVALID_VALUE": F.col("value").try_cast("decimal(18,2)") <= 0}
-    return raw_checks.raw_checks(e, EVENT_CONTRACT, 10_000, invalid, value=F.col)
+    missing = blank_to_null("user_id").isNull() | blank_to_null("event_type").isNull() | blank_to_null("value").isNull()
+    return raw_checks.raw_checks(e, 10_000, "ingestion_record_id", missing, invalid, value=F.col)
 
 
 def raw_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +355,7 @@ def _code(code: str) -> str:
 
 
 ORACLE_SQL = {
-    "stg_typed_projection": f"""with {_EV}, k as (select *, json_extract_string(props, '$.k') as k from ev) select id as ingestion_record_id, upper(trim(event_type)) as event_type, upper(event_type[1:1]) || lower(event_type[2:]) as event_title, k as k_text, try_cast(k as decimal(18,2))::double as k_amount,
+    "stg_typed_projection": f"""with {_EV}, k as (select *, json_extract_string(props, '$.k') as k from ev) select id as ingestion_record_id, upper(trim(event_type)) as event_type, upper(event_type[1:1]) || lower(event_type[2:]) || '-Of/The Day' as event_title, k as k_text, try_cast(k as decimal(18,2))::double as k_amount,
         null::varchar as k_time, strftime(ts, '%Y-%m-%d') as event_day, null::varchar as absent, regexp_extract(file_name, '[^/]+$') as file, record_hash from k""",
     "silver_latest_payment": f"with {_PAY} select {_PAID} from pay",
     "silver_incremental_delta": f"{_INC} select {_PAID} from delta",

@@ -6,9 +6,10 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from lendloom.plans import catalogue
+from lendloom.plans import catalogue, raw_catalogue
 
 SF = "/root/testdata/sf0.001"
+QUERIES, ORACLE_SQL = catalogue.QUERIES | raw_catalogue.QUERIES, catalogue.ORACLE_SQL | raw_catalogue.ORACLE_SQL
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -34,11 +35,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert catalogue.QUERIES.keys() == catalogue.ORACLE_SQL.keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
 
 
-@pytest.mark.parametrize("name", catalogue.QUERIES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_gives_what_its_sql_gives(spark, duck, name):
-    df = catalogue.QUERIES[name](spark, SF)
-    found = duck.sql(catalogue.ORACLE_SQL[name])
+    df = QUERIES[name](spark, SF)
+    found = duck.sql(ORACLE_SQL[name])
     assert rows_of(df.columns, df.collect()) == rows_of(found.columns, found.fetchall())
