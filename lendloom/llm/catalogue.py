@@ -118,30 +118,32 @@ cut as (select max(finish) as cut from times where until <= (select sum(size) *
 select doc_id, size, source_size, target, (size * (coalesce((f0 <= cut)::int, 0) + coalesce((f1 <= cut)::int, 0)))::bigint as taken from c, cut
 """
 
-#: licence notices and spellings come from the operator's own tables
+#: licence texts, notices, patterns and spellings come from the operator's own tables
 _CANON = "lower(coalesce({x}, ''))"
-_CANON = f"regexp_replace({_CANON}, '{licences.COPYRIGHT_LINE}', '', 'g')"
-_CANON = f"regexp_replace({_CANON}, '{licences.NOT_WORD}', ' ', 'g')"
-for _from, _to in licences.SPELLINGS:
-    _CANON = rf"regexp_replace({_CANON}, '\b{_from}\b', '{_to}', 'g')"
+for _pattern, _by in ((licences.COPYRIGHT_AND_MORE, "\\1"), (licences.COPYRIGHT_LINE, ""), (licences.LIST_MARK, ""), (licences.NOT_WORD, " "), *((rf"\b{a}\b", b) for a, b in licences.SPELLINGS)):
+    _CANON = "regexp_replace(" + _CANON + ", '" + _pattern.replace("{", "{{").replace("}", "}}") + f"', '{_by}', 'g')"
 
 
-def _whole(lines: str) -> str:
-    return rf"md5(trim(regexp_replace({lines}, '[ \n]+', ' ', 'g')))"
+def _rows(texts: tuple[tuple[str, str], ...]) -> str:
+    return ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in texts)
 
 
-def _braced(sql: str, x: str) -> str:
-    return sql.replace("{x}", x, 1)
-
-
-_NOTICES = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in licences.NOTICES)
+_JOINED = r"trim(regexp_replace({x}, '[ \n]+', ' ', 'g'))"
+_BLOCKS = "list_filter(list_transform(regexp_split_to_array(lines, '" + licences.BLOCK_END.replace("\n", "\\n") + "'), lambda b: " + _JOINED.format(x="b") + "), lambda b: b <> '')"
+_BARE = f"case when len(blocks) > 1 and len(string_split(blocks[1], ' ')) <= {licences.HEADING} then blocks[2:] else blocks end"
 OP8 = f"""
-with known as (select digest, min(licence) as licence from (select licence, {_whole(_braced(_CANON, "text"))} as digest from (values {_NOTICES}) v(licence, text)) group by digest),
-d as (select row_number() over () as r, doc_id, {_braced(_CANON, "text")} as lines from documents),
-l as (select r, md5(trim(unnest(string_split(lines, chr(10))))) as digest from d),
-found as (select r, count(*) as n, string_agg(distinct licence, ',' order by licence) as names from l join known using (digest) group by r)
-select doc_id, {_whole("lines")} as text_digest, k.licence as text_licence, coalesce(n, 0)::bigint as n_licence_lines, coalesce(names, '') as line_licences
-from d left join found using (r) left join known k on k.digest = {_whole("lines")}
+with texts as (select licence, {_BLOCKS} as blocks, notice from (select licence, {_CANON.format(x="text")} as lines, notice from (select licence, text, true as notice from (values {_rows(licences.NOTICES)}) v(licence, text) union all select licence, text, false from (values {_rows(licences.published_texts())}) v(licence, text)))),
+known as (select licence, notice, md5(array_to_string(blocks, ' ')) as whole, md5(array_to_string({_BARE}, ' ')) as bare, list_transform({_BARE}, lambda b: md5(b)) as blocks from texts),
+digests as (select digest, min(licence) as licence from (select licence, whole as digest from known union all select licence, bare from known) group by digest),
+notices as (select bare as digest, min(licence) as licence from known where notice group by bare),
+l as (select row_number() over () as r, doc_id, {_CANON.format(x="text")} as lines from documents),
+d as (select *, {_BLOCKS} as blocks from l),
+h as (select r, doc_id, md5(array_to_string(blocks, ' ')) as text_digest, md5(array_to_string({_BARE}, ' ')) as bare, list_transform(blocks, lambda b: md5(b)) as blocks from d),
+in_lines as (select r, count(*) as n, string_agg(distinct licence, ',' order by licence) as names from (select r, md5(trim(unnest(string_split(lines, chr(10))))) as digest from l) join notices using (digest) group by r),
+in_blocks as (select r, string_agg(distinct licence, ',' order by licence) as names from (select r, licence from (select r, unnest(blocks) as digest from h) join notices using (digest)
+    union all select r, licence from h join known on not notice and list_has_all(h.blocks, known.blocks)) group by r)
+select doc_id, text_digest, coalesce(a.licence, b.licence) as text_licence, coalesce(n, 0)::bigint as n_licence_lines, coalesce(in_lines.names, '') as line_licences, coalesce(in_blocks.names, '') as block_licences
+from h left join in_lines using (r) left join in_blocks using (r) left join digests a on a.digest = text_digest left join digests b on b.digest = bare
 """
 
 ORACLE_SQL = {"op1_embedding_near_dedup": OP1, "op2_quality_rules": OP2, "op7_mixing": OP7, "op8_licence_scan": OP8}

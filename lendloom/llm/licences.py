@@ -1,14 +1,21 @@
-"""Licence scans: whole texts, and whole lines, looked up by the digest of their canonical form."""
+"""Licence scans: whole texts looked up by the digest of their canonical form, and so their blocks and lines."""
 
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendloom.llm.common import literal_table
 
+#: The full texts of licences as they are published, a file each, named by identifier.
+TEXTS = Path(__file__).parent / "licence_texts"
+#: What follows this line in a licence is advice on how to use it, which most copies leave out.
+END = "END OF TERMS AND CONDITIONS"
+#: A first block of so many words or fewer is a heading; copies have their own or none.
+HEADING = 12
 #: Licence notices as they are published, by identifier.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -19,6 +26,10 @@ NOTICES = (
     ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -33,18 +44,30 @@ SPELLINGS = (
     ("organisation", "organization"),
     ("merchantibility", "merchantability"),
     ("non infringement", "noninfringement"),
+    ("non commercial", "noncommercial"),
+    ("third parties", "thirdparties"),
     ("favour", "favor"),
     ("neighbouring", "neighboring"),
     ("acknowledgement", "acknowledgment"),
+    ("copyright owner", "copyright holder"),
     ("https", "http"),
 )
-COPYRIGHT_LINE = r"(?m)^[^\S\n]*[#*/;-]*[^\S\n]*(copyright|\(c\)|©)[^\n]*$"
-NOT_WORD = "[^a-z0-9\\n\\x{80}-\\x{10FFFF}]+"
+_LINE = r"^[^\S\n]*[#*/;%-]*[^\S\n]*"
+_CLAIM = r"(?:copyright[^\S\n]*(?:\(c\)|©|<|\[|\{|:|[0-9]{4}|by\b)|\(c\)|©)"
+#: A line that claims copyright, or reserves all rights; and one that goes on with a licence, which stays.
+COPYRIGHT_LINE = rf"(?m){_LINE}(?:{_CLAIM}[^\n]*|all rights reserved[.]?[^\S\n]*)$"
+COPYRIGHT_AND_MORE = rf"(?m){_LINE}{_CLAIM}[^\n]*?\b(licen[sc]ed under|released under|permission is|permission to|redistribution and|this program|this file|this work)"
+LIST_MARK = rf"(?m){_LINE}\(?[0-9a-z][0-9]?[.)][^\S\n]+"
+NOT_WORD = "[^\\p{L}\\p{N}\\n]+"
+BLOCK_END = "\n *\n[ \n]*"
 
 
 def canonical_lines(text: Column) -> Column:
-    """A text in lower case without copyright lines and punctuation, in common spelling; its line breaks stay."""
-    out = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), NOT_WORD, " ")
+    """A text in lower case without copyright lines, list marks and punctuation (typographic too), in common spelling; its
+    line breaks stay."""
+    out = F.lower(text)
+    for pattern, by in ((COPYRIGHT_AND_MORE, "$1"), (COPYRIGHT_LINE, ""), (LIST_MARK, ""), (NOT_WORD, " ")):
+        out = F.regexp_replace(out, pattern, by)
     other = out
     for spelling, common in SPELLINGS:
         other = F.regexp_replace(other, rf"\b{spelling}\b", common)
@@ -53,34 +76,85 @@ def canonical_lines(text: Column) -> Column:
 
 def joined(lines: Column) -> Column:
     """Canonical lines as one text, its words single-spaced."""
-    return F.trim(F.regexp_replace(lines, "[ \\n]+", " "))
+    return F.trim(F.regexp_replace(lines, "[ \n]+", " "))
 
 
 def digest(text: Column) -> Column:
     return F.md5(text.cast("binary"))
 
 
-def known_digests(spark: SparkSession, notices: tuple[tuple[str, str], ...] = NOTICES) -> DataFrame:
-    """(digest, licence) of the known texts; one row a digest."""
-    rows = literal_table(spark, json.dumps([{"licence": a, "text": b} for a, b in notices]), "licence: string, text: string")
-    return rows.groupBy(digest(joined(canonical_lines(F.col("text")))).alias("digest")).agg(F.min("licence").alias("licence"))
+def blocks_of(lines: Column) -> Column:
+    """The blocks of canonical lines, which lines without words divide, each as one text."""
+    return F.filter(F.transform(F.split(lines, BLOCK_END), joined), lambda b: b != "")
 
 
-def scan_licences(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTICES, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text_digest, text_licence, n_licence_lines, line_licences) of each document.
+def headless(blocks: Column) -> Column:
+    """The blocks without a heading."""
+    short = (F.size(blocks) > 1) & (F.size(F.split(blocks[0], " ")) <= HEADING)
+    return F.when(short, F.slice(blocks, 2, 1 << 20)).otherwise(blocks)
 
-    The canonical form of the whole text is hash-joined to the known digests; each line is looked up in a map of them, as
-    notices are mostly lines of a longer text. line_licences has each licence once, in order, joined by commas. The known
-    digests are as many as `notices` and so fit a broadcast and a map; documents aren't shuffled. Null,
-    empty and blank texts have the digest of the empty text, which no notice has. Repeated rows are scanned each; other
-    columns are not carried.
+
+def published_texts() -> tuple[tuple[str, str], ...]:
+    """(licence, text) of the full texts; those with advice at their end come again without it."""
+    out = []
+    for path in sorted(TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        out += [(path.stem, text.split(END)[0]), (path.stem, text)] if END in text else [(path.stem, text)]
+    return tuple(out)
+
+
+def _known(spark: SparkSession, texts: tuple[tuple[str, str], ...]) -> DataFrame:
+    """(licence, whole, bare, blocks) of known texts: digests with and without heading, and of the blocks without it."""
+    rows = literal_table(spark, json.dumps([{"licence": a, "text": b} for a, b in texts]), "licence: string, text: string")
+    rows = rows.select("licence", blocks_of(canonical_lines(F.col("text"))).alias("all")).withColumn("own", headless(F.col("all")))
+    return rows.select("licence", digest(F.array_join("all", " ")).alias("whole"), digest(F.array_join("own", " ")).alias("bare"), F.transform("own", digest).alias("blocks"), F.transform("own", F.length).alias("lengths"))
+
+
+def known_digests(spark: SparkSession, texts: tuple[tuple[str, str], ...]) -> DataFrame:
+    """(digest, licence) of the known texts, with and without heading; one row a digest."""
+    return _known(spark, texts).select("licence", F.explode(F.array("whole", "bare")).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
+
+
+def _lookup(pairs: dict[str, Column], kind: str) -> Column:
+    if not pairs:
+        return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast(f"array<{kind}>"))
+    return F.create_map(*(x for key, value in sorted(pairs.items()) for x in (F.lit(key), value)))
+
+
+def scan_licences(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTICES, texts: tuple[tuple[str, str], ...] | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, text_digest, text_licence, n_licence_lines, line_licences, block_licences) of each document.
+
+    The canonical form of the whole text, and that without its heading, are hash-joined to the digests of the known texts:
+    `texts` (the published licences if not given) and `notices`. As licences are mostly part of a longer text, notices are
+    also looked up among its lines, and among its blocks, which blank lines divide, so that one that is wrapped or stands in
+    a comment is found; a licence of several blocks is found where a text holds them all. line_licences and block_licences
+    have each licence once, in order, joined by commas.
+
+    The known texts are few and fit a broadcast and maps; documents aren't shuffled. Null, empty and blank texts have the
+    digest of the empty text, which no licence has; a long text is looked at whole. Repeated rows are scanned each, an empty
+    table gives none; other columns are not carried.
     """
-    known = known_digests(docs.sparkSession, notices)
+    spark, texts = docs.sparkSession, published_texts() if texts is None else texts
+    known = F.broadcast(known_digests(spark, (*notices, *texts)))
+    of_notice = {r.bare: F.lit(r.licence) for r in _known(spark, tuple(sorted(notices, reverse=True))).collect()}
+    by_longest: dict[str, list[Column]] = {}
+    for r in _known(spark, texts).orderBy("licence", "whole").collect():
+        longest = max(zip(r.lengths, r.blocks, strict=True))[1]
+        by_longest.setdefault(longest, []).append(F.struct(F.lit(r.licence).alias("licence"), F.array(*map(F.lit, r.blocks)).alias("blocks")))
+    notice_of, text_of = _lookup(of_notice, "string"), _lookup({k: F.array(*v) for k, v in by_longest.items()}, "array<struct<licence: string, blocks: array<string>>>")
+
     lines = canonical_lines(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.select(F.col(id).alias("id"), lines.alias("lines"))
-    rows = rows.select("id", digest(joined(F.col("lines"))).alias("text_digest"), F.transform(F.split("lines", "\n"), lambda x: digest(F.trim(x))).alias("lines"))
-    lookup = known.select(F.map_from_entries(F.collect_list(F.struct("digest", "licence"))).alias("known")).first()[0]
-    names = F.create_map(*(F.lit(x) for pair in sorted(lookup.items()) for x in pair)) if lookup else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    found = F.filter(F.transform("lines", lambda x: F.try_element_at(names, x)), lambda x: x.isNotNull())
-    whole = rows.select("id", "text_digest", found.alias("found")).join(F.broadcast(known.withColumnsRenamed({"digest": "text_digest", "licence": "text_licence"})), "text_digest", "left")
-    return whole.select(F.col("id").alias(id), "text_digest", "text_licence", F.size("found").cast("long").alias("n_licence_lines"), F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("line_licences"))
+    rows = docs.select(F.col(id).alias("id"), lines.alias("lines")).select("id", "lines", blocks_of(F.col("lines")).alias("blocks"))
+    rows = rows.select("id", digest(F.array_join("blocks", " ")).alias("text_digest"), digest(F.array_join(headless(F.col("blocks")), " ")).alias("bare"), F.transform(F.split("lines", "\n"), lambda x: digest(F.trim(x))).alias("lines"), F.transform("blocks", digest).alias("blocks"))
+    in_lines = F.filter(F.transform("lines", lambda x: F.try_element_at(notice_of, x)), lambda x: x.isNotNull())
+    in_blocks = F.filter(F.transform("blocks", lambda x: F.try_element_at(notice_of, x)), lambda x: x.isNotNull())
+    may_hold = F.flatten(F.filter(F.transform("blocks", lambda x: F.try_element_at(text_of, x)), lambda x: x.isNotNull()))
+    held = F.transform(F.filter(may_hold, lambda k: F.size(F.array_except(k["blocks"], F.col("blocks"))) == 0), lambda k: k["licence"])
+    found = rows.select("id", "text_digest", "bare", in_lines.alias("in_lines"), F.concat(in_blocks, held).alias("in_blocks"))
+    for column, name in (("text_digest", "whole_licence"), ("bare", "bare_licence")):
+        found = found.join(known.withColumnsRenamed({"digest": column, "licence": name}), column, "left")
+
+    def names(found: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(found)), ",")
+
+    return found.select(F.col("id").alias(id), "text_digest", F.coalesce("whole_licence", "bare_licence").alias("text_licence"), F.size("in_lines").cast("long").alias("n_licence_lines"), names("in_lines").alias("line_licences"), names("in_blocks").alias("block_licences"))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -259,14 +260,42 @@ def test_licences(spark):
     assert got[1].text_licence == "MIT"
     assert (got[2].text_licence, got[2].n_licence_lines, got[2].line_licences) == (None, 2, "CC-BY-NC-4.0,MIT")
     assert {got[i].n_licence_lines for i in (3, 4, 5)} == {0} and got[3].text_digest == got[4].text_digest
-    assert licences.scan_licences(docs_frame(spark)).count() == docs_frame(spark).count()
+    odd = licences.scan_licences(docs_frame(spark)).collect()
+    assert sorted(str(r.doc_id) for r in odd) == sorted(str(r.doc_id) for r in docs_frame(spark).collect())
+    assert all((r.text_licence, r.n_licence_lines, r.line_licences, r.block_licences) == (None, 0, "", "") for r in odd)
     assert licences.scan_licences(empty_docs(spark)).count() == 0
 
 
+def test_published_licences_are_found_as_people_write_them(spark):
+    texts = dict(reversed(licences.published_texts()))
+    assert {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "MPL-2.0", "Unlicense"} <= texts.keys()
+    curly = texts["MIT"].replace('"AS IS"', "“AS\u00a0IS”").replace("without limitation", "without\u00a0limitation").replace("and/or", "and / or")
+    wrapped = "\n".join(" * " + line for line in textwrap.wrap(next(t for n, t in licences.NOTICES if n == "LGPL-2.1-or-later"), 60))
+    gpl = next(t for n, t in licences.published_texts() if n == "GPL-3.0")
+    rows = {
+        1: texts["MIT"].replace("MIT License", "The MIT License (MIT)").replace("<year> <copyright holders>", "2021 Jane Doe <jane@example.org>\nAll rights reserved."),
+        2: curly,
+        3: "\n\n".join(textwrap.fill(p, 70) for p in texts["BSD-3-Clause"].split("\n\n")).replace("COPYRIGHT HOLDER ", "COPYRIGHT OWNER ").replace("1. ", "   * ").replace("2. ", "   * "),
+        4: texts["Apache-2.0"].upper(),
+        5: texts["GPL-3.0"],
+        6: re.sub(r"\bLicense\b", "Licence", gpl),
+        7: f"/*\n * widget.c\n *\n{wrapped}\n */\nint main() {{}}",
+        8: "Our package holds a part by others.\n\n" + texts["MIT"] + "\n\nThe end of the story.",
+        9: "Copyright 2020 Some Body. Licensed under the MIT License.",
+        10: texts["MIT"].replace("free of charge", "for a small fee"),
+        11: texts["MIT-0"],
+    }
+    got = {r.doc_id: r for r in licences.scan_licences(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+    assert [got[i].text_licence for i in range(1, 12)] == ["MIT", "MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "GPL-3.0", None, None, "MIT", None, "MIT-0"]
+    assert got[7].block_licences == "LGPL-2.1-or-later" and got[8].block_licences == "MIT" and got[9].line_licences == "MIT"
+    assert got[10].block_licences == "" and got[11].block_licences == "MIT-0"
+
+
 @pytest.mark.parametrize("name", catalogue.ORACLE_SQL)
 def test_query_gives_what_its_sql_gives(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        connection.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     df, want = catalogue.QUERIES[name](spark, SF), connection.sql(catalogue.ORACLE_SQL[name])
     order = sorted(df.columns)
     assert order == sorted(want.columns)
