@@ -16,7 +16,7 @@ from lendloom.llm.components import connected_components, least_of, unite
 #: Rows that are compared with a window before them in one go, and of the blocks in which groups are counted.
 BLOCK = 1024
 #: Passes of one job, and rows that one of its tasks sorts.
-PASSES, SORTED = 4, 1 << 18
+PASSES, SORTED = 4, 1 << 16
 #: Vectors drawn as probes and for the thresholds of the hashes; so few that the driver holds them.
 PROBES = 1024
 HASHES = 63
@@ -59,7 +59,7 @@ def in_bytes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     scale = 127 / np.abs(x).max(axis=1, keepdims=True)
     q = np.rint(x * scale)
     cosine = (q * x).sum(axis=1) / np.linalg.norm(q, axis=1)
-    return q.astype(np.int8), np.arccos(np.clip(cosine, -1, 1)) + 1e-6
+    return q.astype(np.int8), np.arccos(np.clip(cosine, -1, 1)) + 1e-5
 
 
 #: Columns of a pass's rows; the tasks below count on their order.
@@ -92,10 +92,12 @@ def _window_links(rows: DataFrame, threshold: float, window: int) -> DataFrame:
 
     def of_block(cid: np.ndarray, x: np.ndarray, off: np.ndarray, again: int) -> pa.RecordBatch:
         """Links of sorted rows of one pass; the first `again` of them have been compared with one another before."""
-        near = x @ x.T >= np.cos(np.minimum(np.pi, angle + off[:, None] + off[None, :]))
-        a, b = np.nonzero(near)
+        cosine = x @ x.T
+        a, b = np.nonzero(cosine >= math.cos(min(math.pi, angle + 2 * off.max())))
         ahead = (b > a) & (b - a <= window) & (b >= again)
         a, b = a[ahead], b[ahead]
+        near = cosine[a, b] >= np.cos(np.minimum(np.pi, angle + off[a] + off[b]))
+        a, b = a[near], b[near]
         probe, root = (cid[a] < 0) | (cid[b] < 0), np.arange(len(cid))
         unite(root, a[~probe], b[~probe])
         moved = np.flatnonzero(root != np.arange(len(root)))
