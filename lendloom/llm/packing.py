@@ -253,7 +253,8 @@ def pack_matrices(docs: DataFrame, path: str, window: int = 2048, end_id: int =
 
     A document longer than a window is split losslessly: whole windows and a remainder. Each task takes blocks of about
     block_tokens tokens in the order of its input and packs each by best fit decreasing, so memory is bounded and nothing
-    is shuffled. A null or empty text is its end_id alone; repeated rows are packed each; other columns are not carried.
+    is shuffled. A null or empty text is its end_id alone; repeated rows are packed each; an empty table gives none; other
+    columns are not carried.
     """
     kind = docs.schema[id].dataType
     schema = pa.schema([("sequence_id", pa.int64()), ("doc_ids", pa.list_(to_arrow_type(kind))), ("starts", pa.list_(pa.int64())), ("ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())), ("position_resets", pa.list_(pa.int32())), ("n_tokens", pa.int64())])

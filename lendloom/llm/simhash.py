@@ -159,7 +159,8 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
 
     Equal fingerprints are one class, whatever their number, and only classes are compared. A null, empty or blank text
     has fingerprint 0 and is linked like any other; a null id is never a component's least unless all are null. Repeated
-    rows stay, each with its component. Other columns are not carried; an empty table gives none.
+    rows stay, each with its component. A long text is taken whole. Other columns are not carried; an empty table gives none.
+    near_texts.drop_near_texts keeps one row of each group of near copies, by the same method.
     """
     rows = cut_lineage(with_fingerprints(docs.select(F.col(id).alias(id), F.col(text).alias("text")), "text", words=words).select(id, "fp"))
     classes = cut_lineage(rows.groupBy("fp").agg(F.min(id).alias("least")))
@@ -172,23 +173,9 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
     return cut_lineage(rows.join(of_class, "fp").select(id, "fp", "component_id"))
 
 
-def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each simhash group: a row of its least id, all columns kept.
-
-    Of rows that repeat such an id one stays; rows without an id can't be told apart and all stay. The texts are shuffled
-    once, by id, to meet the ids that stay.
-    """
-    groups = simhash_groups(docs, id, text)
-    stay = groups.where(F.col(id) == F.col("component_id")).select(id).distinct()
-    kept = docs.join(stay, id, "left_semi").select(*docs.columns)
-    if not groups.where(F.col(id).isNotNull()).groupBy(id).count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id])
-    return kept.unionByName(docs.where(F.col(id).isNull()))
-
-
 def hex_digits(fp: str = "fp") -> Column:
     """The fingerprint as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-__all__ = ["drop_near_copies", "fingerprint", "hex_digits", "links_in_bucket", "near_fingerprints", "simhash_groups", "with_fingerprints"]
+__all__ = ["fingerprint", "hex_digits", "links_in_bucket", "near_fingerprints", "simhash_groups", "with_fingerprints"]

@@ -302,7 +302,8 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", name: str = "n_
     """docs with the number of tokens of each whole text, as the tokenizers library gives it by default, in column `name`.
 
     No begin, end or added tokens; special strings inside a text count as the special token they are. A null or empty
-    text has 0. Repeated rows each get their count; an input column called `name` is replaced; other columns pass through.
+    text has 0, a long one is counted whole. Repeated rows each get their count; an input column called `name` is replaced;
+    other columns pass through. An empty table gives none.
     path: a byte-level BPE file of that library which every worker can open.
     """
 

@@ -244,15 +244,6 @@ def test_split_buckets_lose_no_link(spark, bucket):
     assert [want.index(x) for x in want] == [joined.index(x) for x in joined]
 
 
-def test_dropping_near_copies_keeps_one_of_each_group(spark):
-    docs = docs_frame(spark)
-    kept = simhash.drop_near_copies(docs)
-    assert kept.columns == docs.columns
-    groups = {r.component_id for r in simhash.simhash_groups(docs.where("doc_id is not null")).collect()}
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(groups)
-    assert kept.where("doc_id is null").count() == docs.where("doc_id is null").count()
-
-
 def test_licences(spark):
     mit = next(t for n, t in licences.NOTICES if n == "MIT" and len(t) > 500)
     rows = [(1, "MIT License text".replace("MIT License text", "Copyright (c) 2020 Somebody\n" + mit.upper().replace(", ", " ,\n"))), (2, "first line\nLicenced under CC BY-NC 4.0!\nRELEASED under the MIT licence\n"), (3, None), (4, ""), (5, "nothing of the kind")]
