@@ -4,6 +4,7 @@ import math
 import random
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -11,9 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lendloom.llm import embeddings, mixing, sharding, toxicity
+from lendloom.llm import catalogue, embeddings, mixing, sharding, toxicity
 from lendloom.llm.components import connected_components
 from tests.llm.fixtures import SF, docs_frame, empty_docs
+from tests.llm.test_near_texts import edited, kept_by_brute_force
 from tests.llm.test_text_operators import WORD, check_pieces, components
 
 
@@ -237,26 +239,32 @@ def test_mix_of_one_row_repeated_many_times(spark):
     assert taken == {d: t for d, (_, t) in got.items() if t}
 
 
-def test_mix_takes_what_sorting_all_copies_by_finish_time_takes(spark):
-    """The cut by steps of time against the plain way: sort every copy of every document, stop at the budget."""
-    rng = random.Random(12)
-    rows = [(i % 700, " ".join(["w"] * rng.randint(0, 9)), rng.choice(["a", "b", None])) for i in range(900)]
-    rows += rows[:40]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    keyed = docs.select("doc_id", "source", F.size(F.regexp_extract_all("text", F.lit("w"), F.lit(0))).alias("size"), mixing.shuffle_key("doc_id", "text", mixing.SEED).alias("h")).collect()
+def plain_taken(docs):
+    """{doc_id: how often the mix takes it}: sort every copy of every document by finish time, stop at the budget."""
+    keyed = docs.select("doc_id", "source", F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("size"), mixing.shuffle_key("doc_id", "text", mixing.SEED).alias("h")).collect()
     sizes, target = plain_mix([(r.doc_id, r.source, r.size) for r in keyed])
     copies, words = [], defaultdict(int)
-    for n, r in enumerate(sorted(keyed, key=lambda r: (str(r.source), r.h, r.doc_id, r.size))):
+    for r in sorted(keyed, key=lambda r: (str(r.source), r.h, r.doc_id, r.size)):
         words[r.source] += r.size
         if r.size and target[r.source]:
-            copies += [((words[r.source] + k * sizes[r.source]) / target[r.source], r.size, n) for k in (0, 1)]
-    want, held, copies = 0, 0, sorted(copies)
-    for finish, group in ((f, [c for c in copies if c[0] == f]) for f in sorted({c[0] for c in copies})):
+            copies += [((words[r.source] + k * sizes[r.source]) / target[r.source], r.size, r.doc_id) for k in (0, 1)]
+    taken, held, copies = defaultdict(int), 0, sorted(copies)
+    for finish in sorted({c[0] for c in copies}):
+        group = [c for c in copies if c[0] == finish]
         held += sum(c[1] for c in group)
         if held > 1.5 * sum(sizes.values()):
             break
-        want += sum(c[1] for c in group)
-    assert mixing.mix(docs).agg(F.sum("taken")).first()[0] == want
+        for _, _, doc in group:
+            taken[doc] += 1
+    return dict(taken)
+
+
+def test_mix_takes_what_sorting_all_copies_by_finish_time_takes(spark):
+    rng = random.Random(12)
+    rows = [(i % 700, " ".join(["w"] * rng.randint(0, 9)), rng.choice(["a", "b", None])) for i in range(900)]
+    docs = spark.createDataFrame([*rows, *rows[:40]], "doc_id long, text string, source string")
+    got = mixing.mix(docs).where("taken > 0").groupBy("doc_id").agg(F.sum(F.expr("taken div size")).alias("times")).collect()
+    assert {r.doc_id: r.times for r in got} == plain_taken(docs)
 
 
 def sentences(spark):
@@ -362,6 +370,40 @@ def test_stages_over_odd_rows(spark, pipeline):
     assert pipeline.STAGES[-1][1](spark, empty_docs(spark), SF).count() == 0
 
 
+def test_every_stage_decides_as_a_plain_version(spark, pipeline, tmp_path):
+    """Planted toxic, poor and copied documents: what each stage keeps against SQL, brute force and sorting."""
+    rng = random.Random(30)
+    clean = [[f"w{rng.randrange(3000)}" for _ in range(rng.randint(60, 140))] for _ in range(220)]
+    rows = [(" ".join(w), 0) for w in clean]
+    rows += [(edited(rng, w, k % 6), 0) for k, w in enumerate(clean[:60])]
+    rows += [(" ".join([*w[:30], rng.choice(["scum", "moron"]), *w[30:]]), 1) for w in clean[60:120]]
+    rows += [(" ".join([*w[:20], "$ # | & %", *w[20:40]]), 0) for w in clean[120:150]] + [("too short", 0), (None, 0), ("", 0), ("so " * 60, 0)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, text, rng.choice(["a", "b", "b", None])) for i, (text, _) in enumerate(rows)], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, 1, toxic) for i, (_, toxic) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+
+    def plain_stage(k, held):
+        if k == 0:
+            return {r.doc_id: 1 for r in held if not rows[r.doc_id][1]}
+        if k == 1:
+            connection = duckdb.connect()
+            documents = pa.table({"doc_id": [r.doc_id for r in held], "text": [r.text for r in held]})  # noqa: F841
+            return dict.fromkeys((d for d, kept in connection.sql(f"select doc_id, kept from ({catalogue.OP2})").fetchall() if kept), 1)
+        if k == 2:
+            texts = [(r.doc_id, r.text) for r in held]
+            return {texts[i][0]: 1 for i in kept_by_brute_force(texts)}
+        return plain_taken(docs)
+
+    for k, (_, stage) in enumerate(pipeline.STAGES[:-1]):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / str(k)))
+        want = plain_stage(k, docs.collect())
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        got = {r.doc_id: r.n for r in docs.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+        assert got == want, pipeline.STAGES[k][0]
+        assert len(got) > 100
+
+
 def test_pipeline_does_what_its_stages_say(spark, pipeline, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for k, (_, stage) in enumerate(pipeline.STAGES[:-1]):

@@ -187,6 +187,7 @@ def test_matrices_hold_every_id(spark, tokenizer, tmp_path):
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1]
         want.update((r.doc_id, s, tuple(ids[s : s + 2048])) for s in range(0, len(ids), 2048))
     assert pieces == want
+    assert packing.pack_matrices(empty_docs(spark), PATH).count() == 0
 
 
 def plain_fingerprint(text):
