@@ -8,9 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendloom.functions.expressions import variant_text
 from lendloom.operators import current_state, raw_checks, staging, validation
 from lendloom.plans import contracts
 from lendloom.plans.catalogue import plain, table
+from lendloom.plans.ingest import Ingestion
+from lendloom.session import scratch_folder
+from lendloom.sources.store import TableStore
 
 LOADED = "2024-03-01"
 
@@ -49,7 +53,7 @@ def raw_customers(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFra
     c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
     c = c if version == 1 else c.where(k % 3 == 0)
     status = F.when(F.col("c_acctbal") < 0, "inactive").when(F.col("c_acctbal") > 9000, "Closed").when(F.col("c_acctbal") > 8000, F.lit(None)).otherwise("Active")
-    fields = {"customer_id": F.when(k % 50 == 7, F.lit("  ")).otherwise(_text("c_custkey")), "customer_name": F.concat(F.lit(" "), "c_name", F.lit(" ")), "email": F.when(k % 40 != 0, F.concat(F.upper("c_name"), F.when(k % 11 == 0, F.lit(" at home")).otherwise(F.lit("@Example.org ")))), "city": F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(f"-BY/the sea {version}")), "customer_status": status, "created_at": F.when(k % 30 == 0, "n/a").otherwise(_day("2024-01-01", k % 300)), "updated_at": F.when(k % 9 != 0, _day("2024-01-01", k % 300 + version))}
+    fields = {"customer_id": F.when(k % 50 == 7, F.lit("  ")).otherwise(_text("c_custkey")), "customer_name": F.concat(F.lit(" "), "c_name", F.lit(" ")), "email": F.when(k % 40 != 0, F.concat(F.upper("c_name"), F.when(k % 11 == 0, F.lit(" at home")).when(k % 13 == 0, F.lit("@Example.org ")).otherwise(F.lit("@Example.org")))), "city": F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(f"-BY/the sea {version}")), "customer_status": status, "created_at": F.when(k % 30 == 0, "n/a").otherwise(_day("2024-01-01", k % 300)), "updated_at": F.when(k % 9 != 0, _day("2024-01-01", k % 300 + version))}
     return _raw(c, "CUSTOMERS", k, _record(fields, {"customer_status": k % 25 == 0}), F.concat_ws("|", _text("c_nationkey"), "c_mktsegment", F.lit(version).cast("string")), version)
 
 
@@ -137,7 +141,24 @@ def silver_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(first, second, current_state.APPLICATIONS)
 
 
-QUERIES = {f.__name__: f for f in (raw_checks_customers, raw_checks_applications, raw_payments_required_fields, invalid_customer_records, invalid_application_records, variant_customer_errors, variant_application_errors, stg_customers, stg_applications, stg_payments, silver_customers, silver_applications)}
+def ingestion_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole runs over generated files: customers as CSV, applications as JSON, customers again, and again by force.
+
+    The files and the tables lie in a new folder of spark.checkpoint.dir.
+    """
+    root = scratch_folder(spark, "ingestion")
+    for raw, contract, write in ((raw_customers, contracts.CUSTOMERS, lambda w: w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv), (raw_applications, contracts.APPLICATIONS, lambda w: w.option("ignoreNullFields", False).json)):
+        fields = [variant_text("raw_record", f).alias(f) for f in contract.fields]
+        write(raw(spark, sf_dir).select(*fields).write)(f"{root}/landing/{contract.stage_path.rstrip('/')}")
+    job, rows = Ingestion(spark, TableStore(spark, f"{root}/lake"), f"{root}/landing"), []
+    for step, (entity, mode, force) in enumerate((("CUSTOMERS", "INCREMENTAL", False), ("APPLICATIONS", "INCREMENTAL", False), ("CUSTOMERS", "INCREMENTAL", False), ("CUSTOMERS", "REPROCESS", True)), 1):
+        out = job.run(entity, mode, force)
+        done = out.get("load_and_reconciliation", {})
+        rows.append((step, entity, out["status"], *(done.get(c) for c in ("source_rows", "loaded_rows", "rejected_rows", "duplicate_rows", "variance_rows", "reconciliation_status"))))
+    return spark.createDataFrame(rows, "step long, entity_name string, status string, source_rows long, loaded_rows long, rejected_rows long, duplicate_rows long, variance_rows long, reconciliation_status string")
+
+
+QUERIES = {f.__name__: f for f in (ingestion_runs, raw_checks_customers, raw_checks_applications, raw_payments_required_fields, invalid_customer_records, invalid_application_records, variant_customer_errors, variant_application_errors, stg_customers, stg_applications, stg_payments, silver_customers, silver_applications)}
 
 # the same in DuckDB SQL -----------------------------------------------------------------------------------------------
 
@@ -149,7 +170,7 @@ def _lineage_sql(n: str, version: int, hashed: str) -> str:
 
 def _customers_sql(name: str, version: int = 1) -> str:
     k = "c_custkey"
-    return f"""{name} as (select case when {k} % 50 = 7 then '  ' else {k}::varchar end as customer_id, ' ' || c_name || ' ' as customer_name, case when {k} % 40 <> 0 then upper(c_name) || case when {k} % 11 = 0 then ' at home' else '@Example.org ' end end as email, '  ' || lower(c_mktsegment) || '-BY/the sea {version}' as city,
+    return f"""{name} as (select case when {k} % 50 = 7 then '  ' else {k}::varchar end as customer_id, ' ' || c_name || ' ' as customer_name, case when {k} % 40 <> 0 then upper(c_name) || case when {k} % 11 = 0 then ' at home' when {k} % 13 = 0 then '@Example.org ' else '@Example.org' end end as email, '  ' || lower(c_mktsegment) || '-BY/the sea {version}' as city,
     upper(c_mktsegment[1:1]) || lower(c_mktsegment[2:]) || '-By/The Sea {version}' as city_title,
     {k} % 25 <> 0 as has_status, case when {k} % 25 <> 0 then case when c_acctbal < 0 then 'inactive' when c_acctbal > 9000 then 'Closed' when c_acctbal > 8000 then null else 'Active' end end as customer_status,
     case when {k} % 30 = 0 then 'n/a' else strftime(date '2024-01-01' + ({k} % 300)::int, '%Y-%m-%d') || ' 00:00:00' end as created_at, case when {k} % 9 <> 0 then strftime(date '2024-01-01' + ({k} % 300 + {version})::int, '%Y-%m-%d') || ' 00:00:00' end as updated_at,
@@ -221,3 +242,9 @@ ORACLE_SQL = {
     "silver_customers": _silver_sql(f"{_customers_sql('raw1')}, a as (select {_CUSTOMER} from raw1)", f"{_customers_sql('raw2', 2)}, b as (select {_CUSTOMER} from raw2)", "customer_id", "coalesce(updated_at, created_at, load_timestamp)"),
     "silver_applications": _silver_sql(f"{_applications_sql('raw1')}, a as (select {_APPLICATION} from raw1)", f"{_applications_sql('raw2', 2)}, b as (select {_APPLICATION} from raw2)", "application_id", "coalesce(decision_date || ' 00:00:00', application_date || ' 00:00:00', load_timestamp)"),
 }
+
+_RUN = "select {step}::bigint as step, '{entity}' as entity_name, 'COMPLETED' as status, n as source_rows, {loaded} as loaded_rows, bad as rejected_rows, {duplicate} as duplicate_rows, 0::bigint as variance_rows, 'PASSED' as reconciliation_status from {counts}"
+ORACLE_SQL["ingestion_runs"] = f"""with c as ({ORACLE_SQL["variant_customer_errors"]}), a as ({ORACLE_SQL["variant_application_errors"]}),
+    cc as (select (select count(*) from customer) as n, (select count(distinct file_row_number) from c) as bad), ac as (select (select count(*) from orders) as n, (select count(distinct file_row_number) from a) as bad)
+    {_RUN.format(step=1, entity="CUSTOMERS", loaded="n - bad", duplicate="0::bigint", counts="cc")} union all {_RUN.format(step=2, entity="APPLICATIONS", loaded="n - bad", duplicate="0::bigint", counts="ac")}
+    union all select 3, 'CUSTOMERS', 'SKIPPED', null, null, null, null, null, null union all {_RUN.format(step=4, entity="CUSTOMERS", loaded="0::bigint", duplicate="n - bad", counts="cc")}"""

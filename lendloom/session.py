@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: UTC keeps timestamps comparable across engines; ANSI makes bad casts fail loudly (try_* is used where they may fail).
@@ -17,3 +20,13 @@ def get_session(app: str = "lendloom", master: str | None = None, **conf: str) -
     """Session with the library's settings; master is left to spark-submit unless given."""
     builder = SparkSession.builder.appName(app).config(map=CONF | conf)
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors see, below spark.checkpoint.dir; a temporary one in local mode only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="lendloom-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
