@@ -28,6 +28,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     links = cut_lineage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    if links.isEmpty():
+        return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     state = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
