@@ -53,6 +53,17 @@ def has_field(record: str | Column, field: str) -> Column:
     return F.try_variant_get(col(record), f"$.{field}", "variant").isNotNull()
 
 
+def object_construct(keep_null: bool = False, **fields: str | Column) -> Column:
+    """A VARIANT object of the fields; those that are null are left out unless keep_null, which makes them JSON nulls."""
+    text = F.to_json(F.struct(*(col(v).alias(k) for k, v in fields.items())), {"ignoreNullFields": str(not keep_null).lower()})
+    return F.parse_json(text)
+
+
+def record_hash(record: str | Column) -> Column:
+    """SHA-256 of a VARIANT record's canonical JSON text."""
+    return F.sha2(F.to_json(col(record)), 256)
+
+
 def blank_to_null(text: str | Column) -> Column:
     return F.nullif(F.trim(col(text)), F.lit(""))
 

@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendloom.functions.expressions import variant_text
+from lendloom.functions.expressions import full_match, object_construct, record_hash, variant_text
 from lendloom.operators import current_state, raw_checks, staging, validation
 from lendloom.plans import contracts
 from lendloom.plans.catalogue import plain, table
 from lendloom.plans.ingest import Ingestion
 from lendloom.session import scratch_folder
+from lendloom.sources.files import list_files, number_rows, read_records
 from lendloom.sources.store import TableStore
 
 LOADED = "2024-03-01"
@@ -158,7 +159,27 @@ def ingestion_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "step long, entity_name string, status string, source_rows long, loaded_rows long, rejected_rows long, duplicate_rows long, variance_rows long, reconciliation_status string")
 
 
-QUERIES = {f.__name__: f for f in (ingestion_runs, raw_checks_customers, raw_checks_applications, raw_payments_required_fields, invalid_customer_records, invalid_application_records, variant_customer_errors, variant_application_errors, stg_customers, stg_applications, stg_payments, silver_customers, silver_applications)}
+def landed_parquet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of payments as a listing and a read see them: rows are numbered from 1 in each file, without gaps."""
+    root = scratch_folder(spark, "landing")
+    raw_payments(spark, sf_dir).select(*(variant_text("raw_record", f).alias(f) for f in contracts.PAYMENTS.fields)).write.parquet(f"{root}/payments")
+    files = list_files(spark, root, "payments/").where(full_match("relative_path", contracts.PAYMENTS.file_pattern)).select("file_uri", "file_name", "file_size_bytes", "file_checksum")
+    landed = read_records(spark, contracts.PAYMENTS, [r.file_uri for r in files.select("file_uri").collect()])
+    landed.write.parquet(f"{root}/records")
+    of_file = number_rows(spark.read.parquet(f"{root}/records")).groupBy("file_uri").agg(F.count("*").alias("n"), F.count_distinct("file_row_number").alias("numbers"), F.min("file_row_number").alias("first"), F.max("file_row_number").alias("last"))
+    seen = files.join(of_file, "file_uri", "full")
+    good = (F.col("n") == F.col("numbers")) & (F.col("first") == 1) & (F.col("last") == F.col("n")) & (F.col("file_size_bytes") > 0) & (F.length("file_checksum") == 32)
+    return seen.agg(F.sum("n").alias("n_rows"), F.count_if(~F.coalesce(good, F.lit(False))).alias("n_bad_files"))
+
+
+def constructed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects with and without their null fields, and the hash of the former."""
+    e = table(spark, sf_dir, "events")
+    fields = {"event_type": "event_type", "big": F.when(F.col("value") > 50, "yes"), "user_id": _text("user_id")}
+    return e.select("event_id", object_construct(**fields).alias("o"), object_construct(keep_null=True, **fields).alias("k")).select("event_id", F.to_json("o").alias("without_nulls"), F.to_json("k").alias("with_nulls"), record_hash("k").alias("record_hash"))
+
+
+QUERIES = {f.__name__: f for f in (ingestion_runs, landed_parquet_files, constructed_objects, raw_checks_customers, raw_checks_applications, raw_payments_required_fields, invalid_customer_records, invalid_application_records, variant_customer_errors, variant_application_errors, stg_customers, stg_applications, stg_payments, silver_customers, silver_applications)}
 
 # the same in DuckDB SQL -----------------------------------------------------------------------------------------------
 
@@ -229,6 +250,9 @@ def _silver_sql(first: str, second: str, key: str, event: str) -> str:
 
 
 ORACLE_SQL = {
+    "landed_parquet_files": "select count(*) as n_rows, 0::bigint as n_bad_files from lineitem",
+    "constructed_objects": """with o as (select event_id, case when value > 50 then '"big":"yes",' else '' end as big, case when value > 50 then '"big":"yes",' else '"big":null,' end as kept, '"event_type":"' || event_type || '","user_id":"' || user_id || '"}' as rest from events)
+        select event_id, '{' || big || rest as without_nulls, '{' || kept || rest as with_nulls, sha256('{' || kept || rest) as record_hash from o""",
     "raw_checks_customers": f"with {_customers_sql('cust')} " + _checks_sql("cust", 1000, "customer_id", _BLANK_CUSTOMER, {"INVALID_CUSTOMER_STATUS": f"{_OTHER_CUSTOMER} or not has_status", "INVALID_TIMESTAMP_VALUES": _NO_TIMES}),
     "raw_checks_applications": f"with {_applications_sql('app')} " + _checks_sql("app", 1650, "application_id", f"{_BAD_APPLICATION} or application_status is null", {"INVALID_APPLICATION_STATUS": f"{_OTHER_APPLICATION} or not has_status", "INVALID_DECISION_DATE": _UNDECIDED}),
     "raw_payments_required_fields": f"with {_PAYMENTS} select count(*) filter (where no_update) as invalid_required_fields from pay",
