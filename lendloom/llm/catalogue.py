@@ -129,7 +129,7 @@ def _rows(texts: tuple[tuple[str, str], ...]) -> str:
 
 
 _JOINED = r"trim(regexp_replace({x}, '[ \n]+', ' ', 'g'))"
-_BLOCKS = "list_filter(list_transform(regexp_split_to_array(lines, '" + licences.BLOCK_END.replace("\n", "\\n") + "'), lambda b: " + _JOINED.format(x="b") + "), lambda b: b <> '')"
+_BLOCKS = "list_filter(list_transform(regexp_split_to_array(lines, '\\n *\\n[ \\n]*'), lambda b: " + _JOINED.format(x="b") + "), lambda b: b <> '')"
 _BARE = f"case when len(blocks) > 1 and len(string_split(blocks[1], ' ')) <= {licences.HEADING} then blocks[2:] else blocks end"
 OP8 = f"""
 with texts as (select licence, {_BLOCKS} as blocks, notice from (select licence, {_CANON.format(x="text")} as lines, notice from (select licence, text, true as notice from (values {_rows(licences.NOTICES)}) v(licence, text) union all select licence, text, false from (values {_rows(licences.published_texts())}) v(licence, text)))),

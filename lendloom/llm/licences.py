@@ -59,24 +59,22 @@ COPYRIGHT_LINE = rf"(?m){_LINE}(?:{_CLAIM}[^\n]*|all rights reserved[.]?[^\S\n]*
 COPYRIGHT_AND_MORE = rf"(?m){_LINE}{_CLAIM}[^\n]*?\b(licen[sc]ed under|released under|permission is|permission to|redistribution and|this program|this file|this work)"
 LIST_MARK = rf"(?m){_LINE}\(?[0-9a-z][0-9]?[.)][^\S\n]+"
 NOT_WORD = "[^\\p{L}\\p{N}\\n]+"
-BLOCK_END = "\n *\n[ \n]*"
 
 
 def canonical_lines(text: Column) -> Column:
     """A text in lower case without copyright lines, list marks and punctuation (typographic too), in common spelling; its
     line breaks stay."""
     out = F.lower(text)
-    for pattern, by in ((COPYRIGHT_AND_MORE, "$1"), (COPYRIGHT_LINE, ""), (LIST_MARK, ""), (NOT_WORD, " ")):
+    claims = out.contains("copyright") | out.contains("(c)") | out.contains("©") | out.contains("all rights reserved")
+    without = F.regexp_replace(F.regexp_replace(out, COPYRIGHT_AND_MORE, "$1"), COPYRIGHT_LINE, "")
+    out = F.when(claims, without).otherwise(out)
+    for pattern, by in ((LIST_MARK, ""), (NOT_WORD, " ")):
         out = F.regexp_replace(out, pattern, by)
     other = out
     for spelling, common in SPELLINGS:
         other = F.regexp_replace(other, rf"\b{spelling}\b", common)
-    return F.when(out.rlike(rf"\b({'|'.join(a for a, _ in SPELLINGS)})\b"), other).otherwise(out)
-
-
-def joined(lines: Column) -> Column:
-    """Canonical lines as one text, its words single-spaced."""
-    return F.trim(F.regexp_replace(lines, "[ \n]+", " "))
+    out = F.when(out.rlike(rf"\b({'|'.join(a for a, _ in SPELLINGS)})\b"), other).otherwise(out)
+    return F.regexp_replace(out, " *\n *", "\n")
 
 
 def digest(text: Column) -> Column:
@@ -85,7 +83,7 @@ def digest(text: Column) -> Column:
 
 def blocks_of(lines: Column) -> Column:
     """The blocks of canonical lines, which lines without words divide, each as one text."""
-    return F.filter(F.transform(F.split(lines, BLOCK_END), joined), lambda b: b != "")
+    return F.filter(F.transform(F.split(lines, "\n\n+"), lambda b: F.trim(F.translate(b, "\n", " "))), lambda b: b != "")
 
 
 def headless(blocks: Column) -> Column:
