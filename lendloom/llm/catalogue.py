@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendloom.llm import embeddings, licences, mixing, packing, quality, sharding, simhash, tokens, toxicity
+from lendloom.llm import audit, embeddings, licences, mixing, packing, positional, quality, resampling, sharding, simhash, tokens, toxicity
 from lendloom.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,7 +62,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_rules, op3_toxicity, op4_packing, op5_sharding, op6_token_matrices, op7_mixing, op8_licence_scan, op9_simhash_near_dedup, op10_token_counts)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_rules, op3_toxicity, op4_packing, op5_sharding, op6_token_matrices, op7_mixing, op8_licence_scan, op9_simhash_near_dedup, op10_token_counts, op11_filter_audit, op12_decontamination, op13_importance_resampling)}
 
 OP1 = """
 with recursive e as (select row_number() over () as r, vec_id, embedding::double[] as v,
@@ -146,4 +160,59 @@ select doc_id, text_digest, coalesce(a.licence, b.licence) as text_licence, coal
 from h left join in_lines using (r) left join in_blocks using (r) left join digests a on a.digest = text_digest left join digests b on b.digest = bare
 """
 
-ORACLE_SQL = {"op1_embedding_near_dedup": OP1, "op2_quality_rules": OP2, "op7_mixing": OP7, "op8_licence_scan": OP8}
+OP11 = rf"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, {WORDS} as words from documents),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+f as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, case when len(words) < 200 then 'A' else '' end
+    || case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end
+    || case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) then 'C' else '' end
+    || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+    || case when doc_id > min(doc_id) over (partition by text) then 'E' else '' end as fails from d left join l using (doc_id)),
+m as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by part, fails),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (select a.x || b.x || c.x || d.x || e.x as filter_order from letters a, letters b, letters c, letters d, letters e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (select filter_order, step, filter_order[step:step] as letter, filter_order[1:step - 1] as earlier from orders, (select unnest([1, 2, 3, 4, 5]) as step)),
+r as (select part, filter_order, step, letter, translate(fails, earlier, '') = fails as there, contains(fails, letter) as hit, fails, n, good, toxic from steps, m),
+s as (select part, filter_order, step, letter, sum(case when there and not hit then n else 0 end)::bigint as kept, sum(case when there and hit then n else 0 end)::bigint as removed,
+    sum(case when hit and not there then n else 0 end)::bigint as redundant, sum(case when fails = letter then n else 0 end)::bigint as unique_fails,
+    sum(case when there and hit then good else 0 end)::bigint as good_lost, sum(case when there and hit then toxic else 0 end)::bigint as toxic_lost from r group by part, filter_order, step, letter)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) over (partition by part, letter))::bigint as shapley from s
+"""
+
+LOWER_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP12 = rf"""
+with d as (select row_number() over () as r, doc_id, {LOWER_WORDS} as words from documents),
+i as (select item_id, {LOWER_WORDS} as words from benchmark),
+windows as (select distinct item_id, least(len(words), {positional.WINDOW}) as size, list_slice(words, k, k + least(len(words), {positional.WINDOW}) - 1) as w
+    from (select *, unnest(range(1, greatest(len(words) - {positional.WINDOW} + 1, 1) + 1)) as k from i where len(words) > 0)),
+spots as (select r, size, k, list_slice(words, k, k + size - 1) as w from (select r, words, size, unnest(range(1, len(words) - size + 2)) as k from d, (select distinct size from windows))),
+hits as (select r, item_id, k, size from spots join windows using (size, w)),
+hit_words as (select r, count(distinct k + o) as n_hit from (select r, k, unnest(range(size)) as o from hits) group by r),
+found as (select r, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as items from (select distinct r, item_id from hits where item_id is not null) group by r)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit_words using (r) left join found using (r)
+"""
+
+#: CRC-32 bit by bit: eight steps of this for each byte
+_STEP = "case when {x} & 1 = 1 then xor({x} >> 1, 3988292384) else {x} >> 1 end"
+OP13 = rf"""
+with recursive d as (select row_number() over () as r, doc_id, {LOWER_WORDS} as words from documents),
+i as (select unnest({LOWER_WORDS}) as word from benchmark),
+w as (select r, unnest(words) as word from d),
+bits as (select n as byte, n::bigint as crc, 0 as k from range(256) t(n) union all select byte, {_STEP.format(x="crc")}, k + 1 from bits where k < 8),
+crcs as (select list(crc order by byte) as crcs from bits where k = 8),
+vocabulary as (select word, hex(encode(word)) as x from (select word from w union select word from i)),
+buckets as (select word, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(x), 2), lambda p: ('0x' || x[p:p + 1])::bigint)),
+    lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % {resampling.BUCKETS} as bucket from vocabulary, crcs),
+s as (select bucket, count(*) as s from w join buckets using (word) group by bucket),
+t as (select bucket, count(*) as t from i join buckets using (word) group by bucket),
+gains as (select bucket, floor(1000 * ln((coalesce(t, 0)::double + 1) * ((select count(*) from w)::double + {resampling.BUCKETS}) / ((coalesce(s, 0)::double + 1) * ((select count(*) from i)::double + {resampling.BUCKETS}))))::bigint as gain from s full join t using (bucket)),
+sums as (select r, sum(gain)::bigint as total from w join buckets using (word) join gains using (bucket) group by r),
+weighed as (select r, doc_id, len(words)::bigint as n, case when len(words) = 0 then 0 else (total - ((total % len(words)) + len(words)) % len(words)) // len(words) end::bigint as weight from d left join sums using (r)),
+scored as (select *, (weight + floor(-1000 * ln(-ln((('0x' || sha256('{resampling.SEED}:' || coalesce(doc_id::varchar, ''))[1:8])::bigint::double + 0.5) / 4294967296))))::bigint as score from weighed),
+ranked as (select r, row_number() over (order by score desc, doc_id nulls last, n) as rank from scored where n >= {resampling.LEAST_WORDS})
+select doc_id, n as n_features, weight, score, case when rank <= (select count(*) from ranked) * {resampling.PERCENT} // 100 then rank end as rank from scored left join ranked using (r)
+"""
+
+ORACLE_SQL = {"op1_embedding_near_dedup": OP1, "op2_quality_rules": OP2, "op7_mixing": OP7, "op8_licence_scan": OP8, "op11_filter_audit": OP11, "op12_decontamination": OP12, "op13_importance_resampling": OP13}

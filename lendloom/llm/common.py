@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str, by: str | None = None) -> Callable[[], DataFrame]:
+    """Writes df as Parquet to a new folder of the shared one, in parts by a column's values if asked; each call of what it
+    returns reads it anew, so that the parts can be joined with each other."""
+    folder = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    (df.write.partitionBy(by) if by else df.write).parquet(folder)
+    return lambda: df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, lengthened until df has no column called so."""
     taken = {c.lower() for c in df.columns}
