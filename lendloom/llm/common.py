@@ -72,6 +72,31 @@ def values_of(column: pa.Array, step: int = 256) -> Iterator:
         yield from column.slice(i, step).to_pylist()
 
 
+def comparable(df: DataFrame, name: str) -> Column:
+    """A column that can be hashed and compared: maps and VARIANT, at any depth, as JSON text."""
+    kind = df.schema[name].dataType.simpleString()
+    return F.to_json(F.struct(name)) if "map<" in kind or "variant" in kind else F.col(name)
+
+
+#: Repeated rows are numbered in pieces of this many, each dealt to a task by itself.
+PIECE = 10_000
+
+
+def repeated(rows: DataFrame, n: str, number: str) -> DataFrame:
+    """Each row n times, numbered from 1 in the column `number`.
+
+    A row that is repeated more than PIECE times is first divided into pieces, which are dealt out over the tasks, so that
+    no task makes all copies of a row. rows should be kept, as they are read twice.
+    """
+    one, size = F.lit(1).cast("long"), F.lit(PIECE).cast("long")
+    out = rows.where(F.col(n) <= PIECE).withColumn(number, F.explode(F.sequence(one, F.col(n))))
+    often, piece = rows.where(F.col(n) > PIECE), free_name(rows, "_piece")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = often.withColumn(piece, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / size)))).repartition(tasks, piece)
+    last = F.least(F.col(n), (F.col(piece) + 1) * size)
+    return out.unionByName(pieces.withColumn(number, F.explode(F.sequence(F.col(piece) * size + 1, last))).drop(piece))
+
+
 def literal_table(spark: SparkSession, rows_as_json: str, fields: str) -> DataFrame:
     """A small table from a JSON list of objects, made inside the JVM."""
     return spark.range(1).select(F.explode(F.from_json(F.lit(rows_as_json), f"array<struct<{fields}>>")).alias("r")).select("r.*")

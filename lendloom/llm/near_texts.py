@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import cut_lineage, free_name, text_bytes, values_of
+from lendloom.llm.common import comparable, cut_lineage, free_name, text_bytes, values_of
 from lendloom.llm.components import connected_components, least_of, unite
 from lendloom.llm.simhash import TO_LOWER
 
@@ -358,12 +358,12 @@ def drop_near_texts(docs: DataFrame, similarity: float = 0.8, words: int = 5, re
     candidate, and rises fast above it; the fingerprint's length follows from it and from the number of rows.
 
     Rows stand for themselves, so null and repeated ids are grouped by their texts like others; a null id comes last. Of
-    rows equal in all columns one stays. Null, empty and blank texts have the same single shingle and are one group; a long
+    rows equal in all columns one stays; columns of maps and VARIANT count by their JSON text. Null, empty and blank texts have the same single shingle and are one group; a long
     text is taken whole. An empty table gives none. Texts are shuffled twice: those that have a candidate, and all to meet
     the rows that stay.
     """
     key, row = free_name(docs, "_class"), free_name(docs, "_row")
-    bare = [F.col(c) for c in docs.columns if c != text]
+    bare = [comparable(docs, c) for c in docs.columns if c != text]
     marked = docs.withColumns({key: F.md5(text_bytes(text)), row: F.xxhash64(*bare, *(c.isNull() for c in bare))})
     rows = marked.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(key).alias("class"), F.col(row).alias("row"))
     equal = equal_segments(docs.select(F.lit(1)).count())

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 SF = "/root/testdata/sf0.001"
 SCHEMA = "n long, doc_id long, text string, lang string, source string, n_chars long, fp long, score double, quality string, _h string, _score string, cell int, size int, id string, taken int, rank int, h string, v int"
 
@@ -15,12 +17,17 @@ def odd_texts():
     return list(enumerate(texts))
 
 
+def with_odd_columns(docs):
+    """docs with a map, an array of maps and a VARIANT beside its columns, which can't be hashed or compared."""
+    return docs.withColumns({"m": F.create_map(F.lit("k"), F.col("doc_id")), "am": F.array(F.create_map(F.lit(1), F.lit("x"))), "va": F.parse_json(F.lit('{"a": [1, null]}'))})
+
+
 def docs_frame(spark):
     rows = []
     for n, (i, text) in enumerate([*odd_texts(), *odd_texts()[5:9]]):
         rows.append((n, None if i == 7 else i, text, "en", None if i % 5 == 0 else f"s{i % 4 % 3}", None, 5, 0.5, "q", "hh", "s", 3, 4, "x", 1, 2, "h", 9))
-    return spark.createDataFrame(rows, SCHEMA)
+    return with_odd_columns(spark.createDataFrame(rows, SCHEMA))
 
 
 def empty_docs(spark):
-    return spark.createDataFrame([], SCHEMA)
+    return with_odd_columns(spark.createDataFrame([], SCHEMA))
