@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import cut_lineage, text_bytes
+from lendloom.llm.common import cut_lineage, repeated, text_bytes
 
 #: The ring has 2**16 cells, whatever the input's size; a cell is the unit that moves on when a shard is full.
 CELL_BITS = 16
@@ -73,7 +73,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, nodes: int = 128, id: str
 
     A document's place on the ring is the hash of its id and checksum, so that equal texts of different ids spread out: to
     keep groups of equal texts together would break the law where one group holds a third of all rows. Rows equal in id,
-    size and checksum are counted before anything else, and each is placed by its number, so these spread out too. Sizes are
+    size and checksum are counted before anything else, and each is placed by its number, so these spread out too; they are
+    numbered in pieces, over many tasks. Sizes are
     the text's UTF-8 bytes (a null or empty text has none) plus 16; a long text is one document. The ring's cells are summed
     up first, so that what is placed doesn't grow with the input; only ids, sizes and checksums are shuffled. slot counts
     from 0 within a shard, by cell and then id. grown_shard is null, as this law moves rows between old shards too. An empty
@@ -82,7 +83,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, nodes: int = 128, id: str
     body = text_bytes(text)
     cell = F.shiftrightunsigned(F.xxhash64(F.lit(DOCUMENT), F.col("id"), F.col("text_crc32"), F.col("number")), 64 - CELL_BITS).cast("int")
     equal = docs.select(F.col(id).alias("id"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32")).groupBy("id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    rows = cut_lineage(equal.select("id", "size", "text_crc32", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("number")).withColumn("cell", cell))
+    rows = cut_lineage(repeated(cut_lineage(equal), "n", "number").withColumn("cell", cell))
     cells = cut_lineage(rows.groupBy("cell").agg(F.sum("size").alias("size"), F.count("*").alias("rows")))
     before = F.coalesce(F.sum("rows").over(W.partitionBy("shard").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     at = place_cells(cells, shards, nodes).select("cell", "shard", before.alias("before"))
