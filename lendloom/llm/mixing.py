@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendloom.llm.common import WORD, cut_lineage, free_name, text_bytes
+from lendloom.llm.common import WORD, cut_lineage, free_name, repeated, text_bytes
 
 #: Weights of the sources in order, again and again.
 WEIGHTS = (3, 1, 2)
@@ -83,7 +83,7 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     its own, in the last place. An empty table gives no rows.
     """
     rows, cut = _mixed(docs, id, text, source, seed)
-    out = rows.withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    out = repeated(rows, "n", "j")
     taken = sum((F.when(_finish(k, F.col("j")) <= F.lit(cut), F.col("size")).otherwise(F.lit(0)) for k in range(MOST)), F.lit(0))
     return out.select(F.col("id").alias(id), "size", "source_size", "target", taken.cast("long").alias("taken"))
 
@@ -116,7 +116,7 @@ def _mixed(docs: DataFrame, id: str, text: str, source: str, seed: str) -> tuple
     earlier = words.over(W.partitionBy("rank", "cell").orderBy("h", "id", "size").rowsBetween(W.unboundedPreceding, -1))
     rows = rows.withColumn("earlier", F.coalesce(earlier, F.lit(0))).join(cells, ["rank", "cell"]).withColumn("before", F.col("earlier") + F.col("cell_before"))
     rows = cut_lineage(rows.select("id", "source", "rank", "h", "size", "n", "source_size", "target", "before"))
-    each = rows.withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    each = repeated(rows, "n", "j")
     copies = each.select(F.explode(F.array(*(_finish(k, F.col("j")) for k in range(MOST)))).alias("finish"), "size").where("finish is not null")
     budget = (rows.agg(words).first()[0] or 0) * SHARE
     return rows, _cut(copies, budget)
@@ -126,10 +126,11 @@ def take_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: st
     """docs as the mix takes them: a document that it takes twice has two rows, one that it doesn't take has none.
 
     As a source's documents are taken in the order of their hash until the cut, one hash for each source and round says
-    which rows are taken, and the texts stay where they are. Texts without words are never taken. Only where the cut falls between rows equal in id, source and
-    text are these rows numbered. An empty table gives none.
+    which rows are taken, and the texts stay where they are. Texts without words are never taken. Only where the cut falls
+    between rows equal in id, source and text are these rows kept and counted by partition, so that the first ones of them
+    are found without their meeting in a task. An empty table gives none.
     """
-    h, bound, times, number, copy = (free_name(docs, n) for n in ("_h", "_bound", "_times", "_number", "_copy"))
+    h, bound, times, number, copy, limit = (free_name(docs, n) for n in ("_h", "_bound", "_times", "_number", "_copy", "_limit"))
     rows, cut = _mixed(docs, id, text, source, SEED)
     found = rows.select("source", "h", "n", *(_taken_of(k, cut).alias(f"t{k}") for k in range(MOST)))
     last = [F.max(F.when(F.col(f"t{k}") > 0, F.struct("h", "n", F.col(f"t{k}").alias("t")))).alias(f"last{k}") for k in range(MOST)]
@@ -143,12 +144,38 @@ def take_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: st
     at_cut = in_rounds(lambda last: (last["h"] == F.col(h)) & (last["t"] < last["n"])) > 0
     taken = own.where(~at_cut).withColumn(times, in_rounds(lambda last: F.col(h) <= last["h"]))
     if not bounds.where(" or ".join(f"{bound}.last{k}.t < {bound}.last{k}.n" for k in range(MOST))).isEmpty():
-        equal = own.where(at_cut).withColumn(number, F.row_number().over(W.partitionBy(source, h).orderBy(h)))
-        some = in_rounds(lambda last: (F.col(h) < last["h"]) | ((F.col(h) == last["h"]) & (F.col(number) <= last["t"])))
-        taken = taken.unionByName(equal.withColumn(times, some).drop(number))
+        equal = cut_lineage(own.where(at_cut)).withColumn(number, F.monotonically_increasing_id())
+        wanted = [F.when(F.col(f"{bound}.last{k}.h") == F.col(h), F.col(f"{bound}.last{k}.t")).otherwise(F.when(F.col(h) < F.col(f"{bound}.last{k}.h"), F.lit(1 << 62)).otherwise(F.lit(0))) for k in range(MOST)]
+        limits = _numbers_of_first(equal.select(F.col(source).alias("source"), F.col(h).alias("h"), F.col(number).alias("number"), F.array(*wanted).alias("wanted")))
+        limits = _broadcast_if_few(limits.select(F.struct("source", "h", "limits").alias(limit)))
+        met = equal.join(limits, F.col(source).eqNullSafe(F.col(f"{limit}.source")) & (F.col(h) == F.col(f"{limit}.h")))
+        some = F.aggregate(f"{limit}.limits", F.lit(0), lambda n, last: n + F.when(F.col(number) <= last, 1).otherwise(0))
+        taken = taken.unionByName(met.withColumn(times, some).select(*taken.columns))
     return taken.where(F.col(times) > 0).withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
+def _numbers_of_first(places: DataFrame) -> DataFrame:
+    """(source, h, limits) for rows (source, h, number, wanted): for each count in wanted the number up to which the source's
+    rows of that hash are so many; all rows of a source and hash want the same.
+
+    number is the row's partition and its place there. The rows of each partition are counted, and only those of the
+    partition in which a count ends are put in order.
+    """
+    places = places.withColumn("part", F.shiftright("number", 33)).withColumn("k", F.explode(F.sequence(F.lit(1), F.size("wanted")))).withColumn("want", F.col("wanted")[F.col("k") - 1])
+    key = ["source", "h", "k"]
+    held = places.groupBy(*key, "part").agg(F.count("*").alias("n"), F.first("want").alias("want"), F.max("number").alias("last"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy(*key).orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    held = cut_lineage(held.withColumn("need", F.col("want") - before))
+    whole = held.where("need >= n").groupBy(*key).agg(F.max("last").alias("limit"))
+    partly = held.where("need > 0 and need < n").select(*(F.col(c).alias(f"_{c}") for c in (*key, "part")), "need")
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("h") == F.col("_h")) & (F.col("k") == F.col("_k")) & (F.col("part") == F.col("_part"))
+    there = places.join(partly, same).withColumn("at", F.row_number().over(W.partitionBy(*key).orderBy("number")))
+    ends = whole.unionByName(there.where("at = need").select(*key, F.col("number").alias("limit")))
+    none = held.select(*key).distinct().withColumn("limit", F.lit(-1).cast("long"))
+    ends = ends.unionByName(none).groupBy(*key).agg(F.max("limit").alias("limit"))
+    return cut_lineage(ends.groupBy("source", "h").agg(F.array_sort(F.collect_list(F.struct("k", "limit"))).alias("limits")).withColumn("limits", F.transform("limits", lambda x: x["limit"])))
+
+
 def _taken_of(k: int, cut: float) -> Column:
     """How many of a row's n equal documents are taken in round k: those that finish by the cut, which are the first ones."""
     guess = F.floor((F.lit(cut) * F.col("target") - k * F.col("source_size") - F.col("before")) / F.col("size"))

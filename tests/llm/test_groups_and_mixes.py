@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lendloom.llm import catalogue, embeddings, mixing, sharding, toxicity
+from lendloom.llm.common import repeated
 from lendloom.llm.components import connected_components
 from tests.llm.fixtures import SF, docs_frame, empty_docs
 from tests.llm.test_near_texts import edited, kept_by_brute_force
@@ -162,6 +163,15 @@ def test_few_cells_move_when_a_shard_is_added(spark):
     assert moved < 0.15 * (1 << 16)
 
 
+def test_copies_of_a_hot_row_are_made_by_many_tasks(spark):
+    rows = spark.createDataFrame([(1, 333_333), (2, 1), (3, 10_000), (4, 10_001), (5, 1)], "id long, n long")
+    out = repeated(rows, "n", "number")
+    found = {r.id: (r.c, r.d, r.least, r.most) for r in out.groupBy("id").agg(F.count("*").alias("c"), F.count_distinct("number").alias("d"), F.min("number").alias("least"), F.max("number").alias("most")).collect()}
+    assert found == {r.id: (r.n, r.n, 1, r.n) for r in rows.collect()}
+    tasks = [r.n for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(tasks) < 0.6 * 353_336
+
+
 def test_one_row_repeated_many_times_is_spread_over_the_shards(spark):
     docs = spark.range(100_000).selectExpr("cast(7 as long) as doc_id", "'the same' as text").unionByName(spark.range(50_000).selectExpr("id as doc_id", "repeat('x', cast(id % 50 as int)) as text"))
     got = sharding.shard_documents(docs, shards=10).groupBy("shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last")).collect()
@@ -235,10 +245,19 @@ def test_mix_of_one_row_repeated_many_times(spark):
     assert got[7][0] == 20_000 and len(got) == 40_001
     hot = mixing.mix(docs).where("source_size = 100000").agg(F.sum("taken").alias("t"), F.first("target").alias("target")).first()
     assert abs(hot.t - hot.target) <= 4
-    taken = {r.doc_id: r.n for r in mixing.take_mix(docs).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    taken = {r.doc_id: r.n for r in mixing.take_mix(docs.repartition(7)).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert taken == {d: t for d, (_, t) in got.items() if t}
 
 
+def test_first_rows_of_equal_ones_are_found_by_counts(spark):
+    rows = spark.range(0, 1000, 1, 7).select(F.when(F.col("id") % 2 == 0, "a").alias("source"), F.lit("h").alias("h"), F.monotonically_increasing_id().alias("number"))
+    wanted = F.when(F.col("source").isNull(), F.array(F.lit(0), F.lit(1 << 62))).otherwise(F.array(F.lit(123), F.lit(1)))
+    limits = {r.source: r.limits for r in mixing._numbers_of_first(rows.withColumn("wanted", wanted)).collect()}
+    for source, counts in (("a", (123, 1)), (None, (0, 500))):
+        numbers = [r.number for r in rows.collect() if r.source == source]
+        assert [sum(n <= limit for n in numbers) for limit in limits[source]] == list(counts)
+
+
 def plain_taken(docs):
     """{doc_id: how often the mix takes it}: sort every copy of every document by finish time, stop at the budget."""
     keyed = docs.select("doc_id", "source", F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("size"), mixing.shuffle_key("doc_id", "text", mixing.SEED).alias("h")).collect()
