@@ -134,7 +134,7 @@ select doc_id, size, source_size, target, (size * (coalesce((f0 <= cut)::int, 0)
 
 #: licence texts, notices, patterns and spellings come from the operator's own tables
 _CANON = "lower(coalesce({x}, ''))"
-for _pattern, _by in ((licences.COPYRIGHT_AND_MORE, "\\1"), (licences.COPYRIGHT_LINE, ""), (licences.LIST_MARK, ""), (licences.NOT_WORD, " "), *((rf"\b{a}\b", b) for a, b in licences.SPELLINGS)):
+for _pattern, _by in (*((a, b.replace("$", "\\")) for a, b in licences.COPYRIGHT), (licences.LIST_MARK, ""), (licences.NOT_WORD, " "), *((rf"\b{a}\b", b) for a, b in licences.SPELLINGS)):
     _CANON = "regexp_replace(" + _CANON + ", '" + _pattern.replace("{", "{{").replace("}", "}}") + f"', '{_by}', 'g')"
 
 

@@ -53,20 +53,34 @@ SPELLINGS = (
     ("https", "http"),
 )
 _LINE = r"^[^\S\n]*[#*/;%-]*[^\S\n]*"
-_CLAIM = r"(?:copyright[^\S\n]*(?:\(c\)|©|<|\[|\{|:|[0-9]{4}|by\b)|\(c\)|©)"
-#: A line that claims copyright, or reserves all rights; and one that goes on with a licence, which stays.
-COPYRIGHT_LINE = rf"(?m){_LINE}(?:{_CLAIM}[^\n]*|all rights reserved[.]?[^\S\n]*)$"
-COPYRIGHT_AND_MORE = rf"(?m){_LINE}{_CLAIM}[^\n]*?\b(licen[sc]ed under|released under|permission is|permission to|redistribution and|this program|this file|this work)"
+_YEARS = r"(?:[^\S\n]*[-–,]?[^\S\n]*(?:[0-9]{4}|present)\b)*,?"
+#: A copyright claim with its years. "(c)" alone needs a year, as lists have it too.
+_CLAIM = rf"(?:copyright[^\S\n]*(?:(?:\(c\)|©|:|by\b)(?:[^\S\n]*by\b)?|[0-9]{{4}}|[<\[{{])|©|\(c\)[^\S\n]*[0-9]{{4}}){_YEARS}"
+#: Words that the name of a holder has at most.
+HOLDER = 12
+_WORD = r"[^\s]+[^\S\n]+"
+#: Patterns and what is put in their place, in order, for lines that begin with a claim: what goes are the claim and its
+#: years, and the holder up to a licence that follows, or else up to the end of the sentence, or of the line. A claim that is
+#: followed by more words than a holder has, without an end, loses its years only.
+COPYRIGHT = (
+    (rf"(?m){_LINE}{_CLAIM}[^\S\n]*(?:{_WORD}){{0,{HOLDER}}}?(licen[sc]ed under|released under|permission is|permission to|redistribution and|this program|this file|this work)\b", "$1"),
+    (rf"(?m){_LINE}{_CLAIM}[^\S\n]*(?:{_WORD}){{0,{HOLDER - 1}}}?[^\s]*[.!?]([^\S\n]|$)", "$1"),
+    (rf"(?m){_LINE}{_CLAIM}[^\S\n]*(?:{_WORD}){{0,{HOLDER - 1}}}[^\s]*[^\S\n]*$", ""),
+    (rf"(?m){_LINE}{_CLAIM}", ""),
+    (rf"(?m){_LINE}all rights reserved\b[.]?", ""),
+)
 LIST_MARK = rf"(?m){_LINE}\(?[0-9a-z][0-9]?[.)][^\S\n]+"
 NOT_WORD = "[^\\p{L}\\p{N}\\n]+"
 
 
 def canonical_lines(text: Column) -> Column:
-    """A text in lower case without copyright lines, list marks and punctuation (typographic too), in common spelling; its
-    line breaks stay."""
+    """A text in lower case without claims of copyright, list marks and punctuation (typographic too), in common spelling;
+    its line breaks stay, and so does what follows a claim in its line."""
     out = F.lower(text)
     claims = out.contains("copyright") | out.contains("(c)") | out.contains("©") | out.contains("all rights reserved")
-    without = F.regexp_replace(F.regexp_replace(out, COPYRIGHT_AND_MORE, "$1"), COPYRIGHT_LINE, "")
+    without = out
+    for pattern, by in COPYRIGHT:
+        without = F.regexp_replace(without, pattern, by)
     out = F.when(claims, without).otherwise(out)
     for pattern, by in ((LIST_MARK, ""), (NOT_WORD, " ")):
         out = F.regexp_replace(out, pattern, by)
