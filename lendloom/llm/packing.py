@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lendloom.llm.common import text_bytes, values_of
+from lendloom.llm.common import stored, text_bytes, values_of
 from lendloom.llm.tokens import token_encoder
 
 PIECE = "{id} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Bits of a sequence id below the partition's number.
-LOCAL_BITS = 40
+#: Bits of a sequence id below the partition's number, and the bit that those of the second streams have.
+LOCAL_BITS, SECOND = 40, 1 << 62
 
 
 class SumOfSquares:
@@ -67,26 +67,13 @@ class SumOfSquares:
         self.n_open += 1
         self.open[level].append(window)
 
-    def place_within(self, item: tuple, size: int, most_open: int) -> Iterator[list]:
-        """Puts an item in and gives the windows that this fills, with no more than most_open windows open after it.
-
-        An item that would open one more goes to a window of the most crowded level, which lowers the sum of squares most;
-        what doesn't fit there is cut off and placed as an item of its own.
-        """
-        while size and self.n_open >= most_open and self.level_for(size) == 0:
-            level = int(np.argmax(self.count))
-            part = min(size, self.window - level)
-            first, item = _cut(item, part)
-            window = self.open[level].pop()
-            window.append(first)
-            size -= part
-            self._take_from(level)
-            if level + part == self.window:
-                yield window
-            else:
-                self._put_on(level + part, window)
-        if size and (full := self.place(item, size)):
-            yield full
+    def crowded(self) -> list[list]:
+        """Takes the windows of the most crowded level out."""
+        level = int(np.argmax(self.count))
+        out, self.open[level] = self.open[level], []
+        self.n_open -= len(out)
+        self.count[level] = 0
+        return out
 
     def rest(self) -> list[list]:
         """The windows that are still open, the fullest first."""
@@ -163,35 +150,75 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 8192) -> I
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
 
 
-def pack_online(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, id: str = "doc_id", text: str = "text", most_open: int = 4096) -> DataFrame:
+def _packed(pieces: Iterator[tuple], window: int, most_open: int) -> Iterator[tuple[bool, list]]:
+    """(full, items) for the windows that pieces (id, start, ids, doc_tokens) fill, and then for those left open.
+
+    Whole windows of a piece stand alone, its remainder goes to the fill level that minimises the sum of squares. With more
+    than most_open windows open those of the most crowded level are given up as they are.
+    """
+    packer = SumOfSquares(window)
+    for id, start, ids, total in pieces:
+        whole = len(ids) // window * window
+        for at in range(0, whole, window):
+            yield True, [(id, start + at, ids[at : at + window], total)]
+        if len(ids) > whole and (full := packer.place((id, start + whole, ids[whole:].copy(), total), len(ids) - whole)):
+            yield True, full
+        if packer.n_open > most_open:
+            yield from ((False, w) for w in packer.crowded())
+    yield from ((False, w) for w in packer.rest())
+
+
+def pack_online(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, id: str = "doc_id", text: str = "text", most_open: int = 1 << 14, task_tokens: int = 1 << 24) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all documents, packed into windows.
 
     Each partition is a stream: a document's whole windows stand alone, its remainder goes to the fill level that minimises
-    the sum of squares. No shuffle; a task keeps only its open windows, `most_open` at most: a remainder that would open
-    another one is cut to fill an open one first. At the end of a partition the open windows are poured together, which cuts
-    pieces; less than a window is then left, and goes into sequences of power-of-two lengths, which need no padding.
-
-    A null or empty text is its end_id alone; a long text is cut into whole windows and a remainder. Repeated rows are
-    packed each; an empty table gives none; other columns are not carried. A lost partition is packed again as a whole.
+    the sum of squares. The windows that a partition leaves open are taken apart, and their pieces are streams again, of some
+    task_tokens tokens each and the longest first, packed by the same rule; only what these leave open is poured together,
+    which cuts pieces. Less than a window a stream is then left, and goes into sequences of power-of-two lengths, which need
+    no padding.
+
+    A task keeps only its open windows, most_open at most: beyond that those of the most crowded level go to the second
+    streams at once. Only pieces of open windows are shuffled, a few windows' worth for each level in use. A null or empty
+    text is its end_id alone; a long text is cut into whole windows and a remainder. Repeated rows are packed each; an empty
+    table gives none; other columns are not carried. A lost partition is packed again as a whole.
     """
     kind = docs.schema[id].dataType
-    schema = pa.schema([("id", to_arrow_type(kind)), *((n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))])
+    schema = pa.schema([("id", to_arrow_type(kind)), *((n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), ("ids", pa.binary())])
+    piece, no_ids = PIECE.format(id="id", kind=kind.simpleString()) + ", ids binary", None
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            n = TaskContext.get().partitionId() << LOCAL_BITS
+            pieces = ((doc, 0, ids, len(ids)) for doc, ids in documents_as_ids(batches, path, end_id))
+            for full, items in _packed(pieces, window, most_open):
+                if full:
+                    yield from ((*row, no_ids) for row in _pieces(iter([items]), n))
+                else:  # sequence_id and offset only say from where the piece comes
+                    yield from ((doc, start, len(ids), None, total, n, k, ids.tobytes()) for k, (doc, start, ids, total) in enumerate(items))
+                n += 1
+
+        yield from _in_batches(rows(), schema)
+
+    def second_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def windows() -> Iterator[list]:
-            packer = SumOfSquares(window)
-            for doc, ids in documents_as_ids(batches, path, end_id):
-                whole = len(ids) // window * window
-                for start in range(0, whole, window):
-                    yield [(doc, start, ids[start : start + window], len(ids))]
-                if size := len(ids) - whole:
-                    yield from packer.place_within((doc, whole, ids[whole:].copy(), len(ids)), size, most_open)
-            yield from close_windows(packer.rest(), window)
-
-        first = TaskContext.get().partitionId() << LOCAL_BITS
-        yield from _in_batches(_pieces(windows(), first), schema)
-
-    return docs.select(F.col(id).alias("id"), text_bytes(text).alias("text")).mapInArrow(pack, PIECE.format(id="id", kind=kind.simpleString())).withColumnRenamed("id", id)
+            pieces = ((doc, start, np.frombuffer(ids, "<u4"), total) for batch in batches for doc, start, total, ids in zip(*(values_of(batch.column(c)) for c in ("id", "start", "doc_tokens", "ids")), strict=True))
+            left = []
+            for full, items in _packed(pieces, window, 1 << 62):
+                if full:
+                    yield items
+                else:
+                    left.append(items)
+            yield from close_windows(left, window)
+
+        first = SECOND | TaskContext.get().partitionId() << LOCAL_BITS
+        yield from _in_batches(((*row, no_ids) for row in _pieces(windows(), first)), schema)
+
+    packed = stored(docs.select(F.col(id).alias("id"), text_bytes(text).alias("text")).mapInArrow(first_streams, piece), "packed")
+    open_pieces = packed().where(F.col("ids").isNotNull())
+    tasks = 1 + (open_pieces.agg(F.sum("length")).first()[0] or 0) // task_tokens
+    streams = open_pieces.repartition(tasks, "sequence_id").sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
+    rows = packed().where(F.col("ids").isNull()).unionByName(streams.mapInArrow(second_streams, piece))
+    return rows.drop("ids").withColumnRenamed("id", id)
 
 
 class CapacityTree:

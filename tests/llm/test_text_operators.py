@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lendloom.llm import catalogue, licences, packing, quality, simhash, tokens
@@ -115,26 +116,42 @@ def check_pieces(rows, texts, tokenizer, window=2048):
         assert at == window or at & (at - 1) == 0
 
 
-@pytest.mark.parametrize("most_open", [4096, 2])
-def test_packing_loses_nothing_and_pads_nothing(spark, tokenizer, most_open):
+@pytest.mark.parametrize(("most_open", "task_tokens"), [(4096, 1 << 24), (2, 1 << 24), (1 << 14, 10_000)])
+def test_packing_loses_nothing_and_pads_nothing(spark, tokenizer, most_open, task_tokens):
     docs = docs_frame(spark).repartition(3)
-    rows = packing.pack_online(docs, PATH, most_open=most_open).collect()
+    rows = packing.pack_online(docs, PATH, most_open=most_open, task_tokens=task_tokens).collect()
     check_pieces(rows, [(r.doc_id, r.text) for r in docs.collect()], tokenizer)
     assert packing.pack_online(empty_docs(spark), PATH).count() == 0
 
 
 def test_no_more_windows_than_allowed_are_open():
-    """Remainders of which no two fit a window: without cutting, each would open another one."""
-    packer, rng, held, full = packing.SumOfSquares(64), random.Random(2), 0, 0
-    for n in range(3000):
-        size = 33 + rng.randint(0, 3)
-        for window in packer.place_within((n, 0, np.full(size, n, "<u4"), size), size, 20):
-            assert sum(len(p[2]) for p in window) == 64
-            full += 1
-        held += size
-        assert packer.n_open == sum(map(len, packer.open)) == packer.count.sum() <= 20
-        assert [len(w) for w in packer.open] == packer.count.tolist()
-    assert held == 64 * full + sum(len(p[2]) for w in packer.rest() for p in w)
+    """Remainders of which no two fit a window: each opens another one."""
+    rng = random.Random(2)
+    pieces = [(n, 0, np.full(33 + rng.randint(0, 3), n, "<u4"), 36) for n in range(3000)]
+    taken, left = 0, []
+
+    def counted():
+        nonlocal taken
+        for piece in pieces:
+            taken += 1
+            yield piece
+
+    for full, items in packing._packed(counted(), 64, 20):
+        assert not full and len(items) == 1
+        left += items
+        assert taken - len(left) <= 21
+    assert sorted(p[0] for p in left) == list(range(3000))
+
+
+@pytest.mark.parametrize("partitions", [4, 8])
+def test_most_windows_are_filled_by_the_sum_of_squares(spark, partitions):
+    """Windows that are poured hold a cut piece, or are the last of a stream; few do, however many partitions there are."""
+    docs = spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.1')}/documents.parquet").repartition(partitions, "doc_id")
+    rows = packing.pack_online(docs, PATH)
+    poured = F.count_if(F.col("cut") > 0)
+    cut = F.count_if((F.col("start") % 2048 != 0) | ((F.col("start") + F.col("length") != F.col("doc_tokens")) & (F.col("length") != 2048)))
+    n = rows.groupBy("sequence_id").agg(cut.alias("cut")).agg(F.count("*").alias("all"), poured.alias("poured")).first()
+    assert n["all"] > 3000 and n.poured < 0.1 * n["all"]
 
 
 def test_sum_of_squares_picks_the_least_growth():
@@ -258,9 +275,31 @@ def test_licences(spark):
     assert licences.scan_licences(empty_docs(spark)).count() == 0
 
 
+def test_what_follows_a_claim_stays(spark):
+    notice = "Permission to use, copy, modify, and/or distribute this software"
+    rows = {
+        1: "Copyright (c) 2020 Foo Inc. The river ran past the mill and on.",
+        2: "(c) one whole long prose line",
+        3: "",
+        4: "Copyright 2019-2024 by the many people who made this and never came to an end of it in one line",
+        5: "Copyright (c) 1999, 2001 Jane Doe. All rights reserved. Released under the MIT License.",
+        6: "The river ran past the mill and on.",
+        7: "Copyright (c) 2020 Foo Inc.",
+        8: "© 2020 Foo\n" + notice + "\n(c) 2021 Bar. " + notice,
+        9: "Copyright (c) 2020 Foo. A story about the word copyright. It was " + "long and " * 40 + "licensed under the MIT License.",
+    }
+    got = {r.doc_id: r for r in licences.scan_licences(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+    digests = {i: got[i].text_digest for i in rows}
+    assert len({digests[i] for i in (1, 2, 3, 4, 5, 8, 9)}) == 7
+    assert digests[1] == digests[6] and digests[7] == digests[3]
+    assert got[5].text_licence == "MIT"
+    both = licences.scan_licences(spark.createDataFrame([(1, f"{notice}\n{notice}")], "doc_id long, text string")).first()
+    assert both.text_digest == digests[8]
+
+
 def test_published_licences_are_found_as_people_write_them(spark):
     texts = dict(reversed(licences.published_texts()))
-    assert {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "MPL-2.0", "Unlicense"} <= texts.keys()
+    assert {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "LGPL-2.0", "MPL-2.0", "Unlicense"} <= texts.keys()
     curly = texts["MIT"].replace('"AS IS"', "“AS\u00a0IS”").replace("without limitation", "without\u00a0limitation").replace("and/or", "and / or")
     wrapped = "\n".join(" * " + line for line in textwrap.wrap(next(t for n, t in licences.NOTICES if n == "LGPL-2.1-or-later"), 60))
     gpl = next(t for n, t in licences.published_texts() if n == "GPL-3.0")
