@@ -45,16 +45,18 @@ def look_back(staged: DataFrame, target: DataFrame, days: int = LOOK_BACK_DAYS)
     return staged.where(F.col("load_timestamp") >= F.lit(last) - F.expr(f"interval {days} days"))
 
 
-def delta(staged: DataFrame, target: DataFrame | None, table: Keyed, days: int = LOOK_BACK_DAYS) -> DataFrame:
+def delta(staged: DataFrame, target: DataFrame | None, table: Keyed, days: int | None = LOOK_BACK_DAYS) -> DataFrame:
     """Rows to merge: latest versions that are new or differ by record_hash from what the target holds.
 
+    days: how far before the target's last load staged rows are looked at; None: all of them.
+
     Without a target these are the latest of all staged rows. With one, the target's rows of incoming keys compete, so an
     older record that arrives late never displaces a newer one, even outside the look-back.
     """
     if target is None:
         return latest(staged, table)
     columns = [c for c in staged.columns]
-    incoming = look_back(staged, target, days).withColumn("existing_version_priority", F.lit(0))
+    incoming = (staged if days is None else look_back(staged, target, days)).withColumn("existing_version_priority", F.lit(0))
     existing = target.join(incoming.select(table.key).distinct(), table.key, "left_semi").withColumn("existing_version_priority", F.lit(1))
     best = latest(incoming.unionByName(existing, allowMissingColumns=True), table).select(*columns)
     # only keys that come in can be in best, so the rows found above do, and the target isn't shuffled a second time

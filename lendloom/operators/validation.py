@@ -97,7 +97,12 @@ def mark_duplicates(valid: DataFrame, raw: DataFrame, within: bool = False) -> D
     cut down to those of the batch: where these are small enough to be broadcast, raw is only scanned.
     """
     wanted = valid.where(F.col("record_hash").isNotNull()).select(F.col("record_hash").alias("_hash")).distinct()
-    held = raw.select(F.col("record_hash").alias("_hash")).join(wanted, "_hash", "left_semi").distinct()
+    return mark_known(valid, raw.select("record_hash").join(wanted.withColumnRenamed("_hash", "record_hash"), "record_hash", "left_semi"), within)
+
+
+def mark_known(valid: DataFrame, known_hashes: DataFrame, within: bool = False) -> DataFrame:
+    """mark_duplicates for hashes (record_hash) of which it is known that raw holds them."""
+    held = known_hashes.select(F.col("record_hash").alias("_hash")).distinct()
     out = valid.join(held, F.col("record_hash") == F.col("_hash"), "left")
     known = F.col("_hash").isNotNull()
     if within:
@@ -107,10 +112,15 @@ def mark_duplicates(valid: DataFrame, raw: DataFrame, within: bool = False) -> D
     return out.withColumn("processed_status", F.when(known, "DUPLICATE").otherwise("PENDING")).select(*valid.columns, "processed_status")
 
 
-def batch_counts(rows: DataFrame, *by: str) -> DataFrame:
-    """Source, valid, rejected, duplicate and loadable rows, in one aggregation."""
+def counts() -> list[Column]:
+    """Source, valid, rejected, duplicate and loadable rows, as aggregates."""
     status, done = F.col("validation_status"), F.col("processed_status")
-    return rows.groupBy(*by).agg(F.count("*").alias("source_rows"), F.count_if(status == "VALID").alias("valid_rows"), F.count_if(status == "INVALID").alias("rejected_rows"), F.count_if(done == "DUPLICATE").alias("duplicate_rows"), F.count_if((status == "VALID") & (done != "DUPLICATE")).alias("loaded_rows"))
+    return [F.count(F.lit(1)).alias("source_rows"), F.count_if(status == "VALID").alias("valid_rows"), F.count_if(status == "INVALID").alias("rejected_rows"), F.count_if(done == "DUPLICATE").alias("duplicate_rows"), F.count_if((status == "VALID") & (done != "DUPLICATE")).alias("loaded_rows")]
+
+
+def batch_counts(rows: DataFrame, *by: str) -> DataFrame:
+    """Those counts in one aggregation."""
+    return rows.groupBy(*by).agg(*counts())
 
 
 def reconciled(counts: DataFrame) -> DataFrame:
