@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendloom.functions.expressions import blank_to_null, full_match, has_field, variant_text
@@ -60,6 +60,60 @@ def contract_errors(contract: Contract, value: Reader | None = None, present: Re
     return F.array_sort(F.filter(F.array(*errors), lambda e: e.isNotNull())) if errors else F.array().cast(f"array<{ERROR}>")
 
 
+RULE = "struct<field: string, required: boolean, accepted: array<string>, bound: string, pattern: string>"
+
+
+def rule_table(spark: SparkSession, contracts: Iterable[Contract]) -> DataFrame:
+    """(contract_id, contract_version, rules): what each version asks of its records, as data; a row a version."""
+    rows = []
+    for c in contracts:
+        rules = [(f, True, None, None, None) for f in c.required_fields]
+        for r in c.rules:
+            accepted = [v.strip().upper() for v in r.values] if r.rule_type == "ACCEPTED_VALUES" else None
+            rules.append((r.field, False, accepted, r.bound if r.rule_type == "GREATER_THAN" else None, r.pattern))
+        rows.append((c.contract_id, c.contract_version, rules))
+    return spark.createDataFrame(rows, f"contract_id long, contract_version string, rules array<{RULE}>")
+
+
+def errors_by_rules(rules: str = "rules", record: str = "raw_record") -> Column:
+    """contract_errors of a record by rules that stand beside it as data.
+
+    A rule may check several things, so each gives a list of errors. The record's fields are read once, as a map.
+    """
+    fields = F.from_json(F.to_json(record), "map<string,string>")
+
+    def of_rule(rule: Column) -> Column:
+        name = rule["field"]
+        value, present = F.try_element_at(fields, name), F.coalesce(F.map_contains_key(fields, name), F.lit(False))
+
+        def error(condition: Column, code: str, *message: Column) -> Column:
+            return F.when(condition, F.struct(name.alias("field"), F.lit(code).alias("code"), F.concat(*message).alias("message")))
+
+        known = F.coalesce(F.array_contains(rule["accepted"], F.upper(F.trim(value))), F.lit(False))
+        over = F.coalesce(value.try_cast("decimal(38,10)") > rule["bound"].cast("decimal(38,10)"), F.lit(False))
+        matches = F.rlike(value, F.concat(F.lit(r"\A(?:"), rule["pattern"], F.lit(r")\z")))
+        return F.array(
+            error(rule["required"] & blank_to_null(value).isNull(), "REQUIRED_FIELD_MISSING", F.lit("Required field "), name, F.lit(" is null, missing or empty")),
+            error(rule["accepted"].isNotNull() & present & ~known, "INVALID_ACCEPTED_VALUE", F.lit("Field "), name, F.lit(" contains unsupported value: "), F.coalesce(value, F.lit("<NULL>"))),
+            error(rule["bound"].isNotNull() & present & ~over, "VALUE_NOT_GREATER_THAN", F.lit("Field "), name, F.lit(" must be greater than "), rule["bound"]),
+            error(rule["pattern"].isNotNull() & value.isNotNull() & ~matches, "PATTERN_MISMATCH", F.lit("Field "), name, F.lit(" does not match the configured pattern")),
+        )
+
+    return F.array_sort(F.filter(F.flatten(F.transform(rules, of_rule)), lambda e: e.isNotNull()))
+
+
+def validate_by_rules(work: DataFrame, rules: DataFrame) -> DataFrame:
+    """work, whose records name their contract's id and version, with validation_errors and validation_status.
+
+    The rules are joined to the records, so one batch may hold several contracts and versions of them; a record whose
+    contract has no row fails the join, and the batch with it.
+    """
+    found = work.join(rules.withColumn("_found", F.lit(True)), ["contract_id", "contract_version"], "left")
+    none = F.raise_error(F.concat(F.lit("no contract "), F.coalesce(F.col("contract_id").cast("string"), F.lit("<NULL>")), F.lit(" "), F.coalesce("contract_version", F.lit("<NULL>"))))
+    checked = found.withColumn("validation_errors", F.when(F.col("_found"), errors_by_rules()).otherwise(none.cast(f"array<{ERROR}>")))
+    return checked.withColumn("validation_status", F.when(F.size("validation_errors") > 0, "INVALID").otherwise("VALID")).select(*work.columns, "validation_errors", "validation_status")
+
+
 def validate(work: DataFrame, contract: Contract) -> DataFrame:
     """work with validation_errors and validation_status."""
     checked = work.withColumn("validation_errors", contract_errors(contract))

@@ -149,7 +149,8 @@ def dim_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(gold.dim_date(spark))
+    """The days from the first order to the last."""
+    return plain(gold.dim_date_of(table(spark, sf_dir, "orders"), "o_orderdate"))
 
 
 def fct_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,7 +364,7 @@ ORACLE_SQL = {
     "dim_customers": f"with {_CUST}, {_DIMC} select * from dimc",
     "dim_applications": f"with {_CUST}, {_APP}, {_DIMC}, {_DIMA} select * replace (requested_amount::double as requested_amount, strftime(application_date, '%Y-%m-%d %H:%M:%S') as application_date, strftime(decision_date, '%Y-%m-%d %H:%M:%S') as decision_date) from dima",
     "dim_date": """select strftime(d, '%Y%m%d')::bigint as date_key, strftime(d, '%Y-%m-%d') as calendar_date, year(d) as calendar_year, quarter(d) as calendar_quarter, month(d) as month_number, strftime(d, '%b') as month_name, week(d) as iso_week_number, day(d) as day_of_month, isodow(d) as iso_day_of_week, strftime(d, '%a') as day_name, isodow(d) in (6, 7) as is_weekend,
-        strftime(date_trunc('month', d), '%Y-%m-%d') as month_start_date, strftime(last_day(d), '%Y-%m-%d') as month_end_date from (select unnest(generate_series(timestamp '2020-01-01', timestamp '2030-12-31', interval 1 day))::date as d)""",
+        strftime(date_trunc('month', d), '%Y-%m-%d') as month_start_date, strftime(last_day(d), '%Y-%m-%d') as month_end_date from (select unnest(generate_series((select date_trunc('day', min(o_orderdate)) from orders), (select date_trunc('day', max(o_orderdate)) from orders), interval 1 day))::date as d)""",
     "fct_applications": f"{_GOLD} select * replace (requested_amount::double as requested_amount, approved_requested_amount::double as approved_requested_amount, {_TIME.format('application_date')}, {_TIME.format('decision_date')}) from fcta",
     "fct_payments": f"{_GOLD} select * replace (payment_amount::double as payment_amount, completed_payment_amount::double as completed_payment_amount, refunded_payment_amount::double as refunded_payment_amount, {_TIME.format('payment_date')}) from fctp",
     "mart_application_performance": f"""{_GOLD} select application_date_key, strftime(application_date, '%Y-%m-%d') as application_date, sum(application_count)::bigint as application_count, sum(submitted_count)::bigint as submitted_count, sum(under_review_count)::bigint as under_review_count, sum(approved_count)::bigint as approved_count, sum(rejected_count)::bigint as rejected_count,

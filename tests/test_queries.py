@@ -6,10 +6,10 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from lendloom.plans import catalogue, raw_catalogue
+from lendloom.plans import catalogue, raw_catalogue, stored_catalogue
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE_SQL = catalogue.QUERIES | raw_catalogue.QUERIES, catalogue.ORACLE_SQL | raw_catalogue.ORACLE_SQL
+QUERIES, ORACLE_SQL = catalogue.QUERIES | raw_catalogue.QUERIES | stored_catalogue.QUERIES, catalogue.ORACLE_SQL | raw_catalogue.ORACLE_SQL | stored_catalogue.ORACLE_SQL
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
