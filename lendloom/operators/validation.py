@@ -75,12 +75,12 @@ def rule_table(spark: SparkSession, contracts: Iterable[Contract]) -> DataFrame:
     return spark.createDataFrame(rows, f"contract_id long, contract_version string, rules array<{RULE}>")
 
 
-def errors_by_rules(rules: str = "rules", record: str = "raw_record") -> Column:
-    """contract_errors of a record by rules that stand beside it as data.
+def errors_by_rules(rules: str, fields: str) -> Column:
+    """contract_errors of a record, whose fields are a map of texts, by rules that stand beside it as data.
 
-    A rule may check several things, so each gives a list of errors. The record's fields are read once, as a map.
+    A rule may check several things, so each gives a list of errors.
     """
-    fields = F.from_json(F.to_json(record), "map<string,string>")
+    fields = F.col(fields)
 
     def of_rule(rule: Column) -> Column:
         name = rule["field"]
@@ -109,8 +109,9 @@ def validate_by_rules(work: DataFrame, rules: DataFrame) -> DataFrame:
     contract has no row fails the join, and the batch with it.
     """
     found = work.join(rules.withColumn("_found", F.lit(True)), ["contract_id", "contract_version"], "left")
+    found = found.withColumn("_fields", F.from_json(F.to_json("raw_record"), "map<string,string>"))  # read once a record
     none = F.raise_error(F.concat(F.lit("no contract "), F.coalesce(F.col("contract_id").cast("string"), F.lit("<NULL>")), F.lit(" "), F.coalesce("contract_version", F.lit("<NULL>"))))
-    checked = found.withColumn("validation_errors", F.when(F.col("_found"), errors_by_rules()).otherwise(none.cast(f"array<{ERROR}>")))
+    checked = found.withColumn("validation_errors", F.when(F.col("_found"), errors_by_rules("rules", "_fields")).otherwise(none.cast(f"array<{ERROR}>")))
     return checked.withColumn("validation_status", F.when(F.size("validation_errors") > 0, "INVALID").otherwise("VALID")).select(*work.columns, "validation_errors", "validation_status")
 
 

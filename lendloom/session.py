@@ -7,12 +7,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: UTC keeps timestamps comparable across engines; ANSI makes bad casts fail loudly (try_* is used where they may fail).
+#: UTC keeps timestamps comparable across engines; ANSI makes bad casts fail loudly (try_* is used where they may fail);
+#: VARIANT columns are written with their fields as columns of their own, of which a scan reads what is asked for.
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
 
