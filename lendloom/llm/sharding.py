@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from lendloom.llm.common import cut_lineage, repeated, text_bytes
 
 #: The ring has 2**16 cells, whatever the input's size; a cell is the unit that moves on when a shard is full.
 CELL_BITS = 16
+#: Cells of over a FINE-th of a shard's share are placed by classes of size, each up to CLASS times the one below.
+FINE, CLASS = 64, 4
 #: Hash seeds of documents and virtual nodes.
 DOCUMENT, NODE = 101, 202
 
@@ -38,34 +42,45 @@ def place_cells(cells: DataFrame, shards: int, nodes: int) -> DataFrame:
 
     Each cell goes to the first open shard clockwise. A shard takes its largest cells first, as long as they fit its share
     of all bytes, and is full once one doesn't fit; what it can't take goes on clockwise, to the next shard that is still
-    open. When all are full, each takes what is left over, again going clockwise, until it has reached its share. Each
-    round fills a shard or places the rest. Only the shards' loads come to the driver.
+    open. An empty shard takes a cell of any size. Cells that are large beside a share go before the smaller ones, a class of
+    sizes at a time, and a shard that was full for a class is open again for the next, so that gaps are filled. What no shard
+    had room for is given out at the end, again clockwise, to shards that haven't reached their share. Each round fills a
+    shard or places the rest; with many documents all cells are in one class. Only the shards' loads come to the driver.
     """
     spark = cells.sparkSession
     share = (cells.agg(F.sum("size")).first()[0] or 0) / shards
     ring = cut_lineage(virtual_nodes(spark, shards, nodes))
-    used, fitting, waiting, placed = dict.fromkeys(range(shards), 0), set(range(shards)), cells, []
+    used, placed, left = dict.fromkeys(range(shards), 0), [], []
     there = W.partitionBy("shard").orderBy(F.col("size").desc(), "cell").rowsBetween(W.unboundedPreceding, -1)
-    while True:
-        is_open = sorted(fitting) or [s for s, n in used.items() if n < share] or sorted(used)
+
+    def tried(waiting: DataFrame, is_open: list[int], fitting: bool) -> tuple[DataFrame, list]:
         load = F.create_map(*(F.lit(x) for s in is_open for x in (s, float(used[s]))))
         before = load[F.col("shard")] + F.coalesce(F.sum("size").over(there), F.lit(0))
-        fits = before + F.col("size") <= share if fitting else (before < share) | F.lit(share == 0)
-        tried = cut_lineage(_clockwise(waiting, ring.where(F.col("shard").isin(is_open))).withColumn("fits", fits))
-        placed.append(tried.where("fits").select("cell", "rows", "shard"))
-        loads = tried.groupBy("shard", "fits").agg(F.sum("size").alias("size")).collect()
+        fits = (before + F.col("size") <= share) | (before == 0) if fitting else (before < share) | F.lit(share == 0)
+        out = cut_lineage(_clockwise(waiting, ring.where(F.col("shard").isin(is_open))).withColumn("fits", fits))
+        placed.append(out.where("fits").select("cell", "rows", "shard"))
+        loads = out.groupBy("shard", "fits").agg(F.sum("size").alias("size")).collect()
         for r in loads:
-            if r.fits:
-                used[r.shard] += r.size
-            else:
-                fitting.discard(r.shard)
-        if all(r.fits for r in loads):
-            break
-        waiting = tried.where("not fits").select("cell", "size", "rows")
-    out = placed[0]
-    for more in placed[1:]:
-        out = out.unionByName(more)
-    return out
+            used[r.shard] += r.size if r.fits else 0
+        return out.where("not fits").select("cell", "size", "rows"), [r.shard for r in loads if not r.fits]
+
+    least = max(share / FINE, 1.0)
+    of_class = F.when(F.col("size") < least, 0).otherwise(1 + F.floor(F.log(F.col("size") / least) / F.log(F.lit(CLASS)) + 1e-9))
+    classes = [r.c for r in cells.groupBy(of_class.cast("int").alias("c")).count().collect()]
+    for own in sorted(classes, reverse=True):
+        waiting, fitting = cells.where(of_class == own), set(range(shards))
+        while fitting:
+            waiting, full = tried(waiting, sorted(fitting), True)
+            fitting -= set(full)
+            if not full:
+                break
+        else:
+            left.append(waiting)
+    waiting = reduce(DataFrame.unionByName, left) if left else None
+    while waiting is not None:
+        waiting, full = tried(waiting, [s for s, n in used.items() if n < share] or sorted(used), False)
+        waiting = waiting if full else None
+    return reduce(DataFrame.unionByName, placed) if placed else cells.select("cell", "rows", F.lit(0).alias("shard"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, nodes: int = 128, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -124,28 +124,49 @@ def test_shards_are_even_gapless_and_repeatable(spark):
 
 def plain_ring(cells, nodes, shards):
     """cells {cell: size} on a ring with nodes {cell: shard}: each goes clockwise until a shard takes it."""
-    share, used, fitting, waiting, at = sum(cells.values()) / shards, [0] * shards, set(range(shards)), dict(cells), {}
-    while waiting:
-        open_ = fitting or {s for s in range(shards) if used[s] < share} or set(range(shards))
+    share, used, at = sum(cells.values()) / shards, [0] * shards, {}
+
+    def one_round(waiting, open_, fitting):
         ring = sorted((c, s) for c, s in nodes.items() if s in open_)
-        by_shard = defaultdict(list)
+        by_shard, full = defaultdict(list), set()
         for c in waiting:
             by_shard[next((s for p, s in ring if p >= c), ring[0][1])].append(c)
-        tried, full = dict(used=list(used)), set()
         for s, own in by_shard.items():
             before = used[s]
             for c in sorted(own, key=lambda c: (-waiting[c], c)):
-                if before + waiting[c] <= share if fitting else before < share or share == 0:
+                if (before + waiting[c] <= share or before == 0) if fitting else (before < share or share == 0):
                     at[c] = s
-                    tried["used"][s] += waiting[c]
+                    used[s] += waiting[c]
                 else:
                     full.add(s)
                 before += waiting[c]
-        used, fitting = tried["used"], fitting - full
-        waiting = {c: n for c, n in waiting.items() if c not in at}
+        return {c: n for c, n in waiting.items() if c not in at}, full
+
+    def class_of(size):
+        n, edge = 0, max(share / 64, 1)
+        while size >= edge * (1 - 1e-12):
+            n, edge = n + 1, edge * 4
+        return n
+
+    left = {}
+    for own in sorted({class_of(n) for n in cells.values()}, reverse=True):
+        waiting, fitting = {c: n for c, n in cells.items() if class_of(n) == own}, set(range(shards))
+        while waiting and fitting:
+            waiting, full = one_round(waiting, fitting, True)
+            fitting -= full
+        left |= waiting
+    while left:
+        left, _ = one_round(left, {s for s in range(shards) if used[s] < share} or set(range(shards)), False)
     return at
 
 
+def test_few_documents_are_spread_evenly(spark):
+    docs = spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    loads = [r.n for r in sharding.shard_documents(docs).groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    share = sum(loads) / 40
+    assert len(loads) == 40 and 0.95 * share < min(loads) and max(loads) < 1.05 * share
+
+
 @pytest.mark.parametrize(("shards", "most"), [(3, 5), (10, 40)])
 def test_cells_are_placed_as_on_a_plain_ring(spark, shards, most):
     rng = random.Random(shards)
