@@ -91,6 +91,8 @@ def repeated(rows: DataFrame, n: str, number: str) -> DataFrame:
     one, size = F.lit(1).cast("long"), F.lit(PIECE).cast("long")
     out = rows.where(F.col(n) <= PIECE).withColumn(number, F.explode(F.sequence(one, F.col(n))))
     often, piece = rows.where(F.col(n) > PIECE), free_name(rows, "_piece")
+    if often.isEmpty():
+        return out
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = often.withColumn(piece, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / size)))).repartition(tasks, piece)
     last = F.least(F.col(n), (F.col(piece) + 1) * size)
