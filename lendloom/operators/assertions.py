@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,17 @@ def expression_is_true(df: DataFrame, expression: str, where: str | None = None)
     return rows.where(~F.coalesce(F.expr(expression), F.lit(False)))
 
 
+def failing_counts(not_null: tuple[str, ...] = (), accepted: dict[str, tuple] | None = None, true: dict[str, str | None] | None = None) -> dict[tuple[str, str], Column]:
+    """What the tests above that look at rows alone would find, as aggregates of one scan, by kind and what is tested."""
+    out = {("not_null", c): F.count_if(F.col(c).isNull()) for c in not_null}
+    for c, values in (accepted or {}).items():
+        out["accepted", c] = F.count_distinct(F.when(~F.col(c).isin(list(values)), F.col(c)))
+    for expression, where in (true or {}).items():
+        fails = ~F.coalesce(F.expr(expression), F.lit(False))
+        out["true", expression] = F.count_if(fails & F.coalesce(F.expr(where), F.lit(False)) if where else fails)
+    return out
+
+
 def failures(tests: dict[str, DataFrame]) -> dict[str, int]:
     """Number of failing rows of each test, in one job."""
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("test"), "n") for name, df in tests.items()]

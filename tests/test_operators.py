@@ -137,3 +137,18 @@ def test_assertions(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, None), (2, "z")], "k int, v string")
     found = assertions.failures({"not_null": assertions.not_null(df, "k"), "unique": assertions.unique(df, "k"), "accepted": assertions.accepted_values(df, "v", ["a", "b"]), "related": assertions.relationships(df, "k", df.where("k = 1"), "k"), "true": assertions.expression_is_true(df, "k > 1"), "true_where": assertions.expression_is_true(df, "k >= 1", "k is not null")})
     assert found == {"not_null": 1, "unique": 1, "accepted": 1, "related": 1, "true": 3, "true_where": 0}
+    folded = assertions.failing_counts(("k",), {"v": ("a", "b")}, {"k > 1": None, "k >= 1": "k is not null"})
+    counts = df.agg(*(c.alias(" ".join(t)) for t, c in folded.items())).first().asDict()
+    assert counts == {"not_null k": 1, "accepted v": 1, "true k > 1": 3, "true k >= 1": 0}
+
+
+def test_rules_as_data_are_the_compiled_rules(spark):
+    strict = type(contracts.CUSTOMERS)(**{**contracts.CUSTOMERS.__dict__, "contract_version": "2.0", "required_fields": ("city",), "rules": (contracts.Rule("customer_id", "GREATER_THAN", bound="2"), contracts.Rule("city", "REGEX", pattern="a|bc"))})
+    texts = ['{"customer_id": "1", "customer_name": "n", "email": "a@b.c", "customer_status": " active ", "created_at": "x", "city": "xbc"}', '{"customer_id": null, "email": "bad", "customer_status": null, "city": "bc"}', '{"customer_id": 3, "city": " ", "customer_status": "SUSPENDED"}', "{}"]
+    work = spark.createDataFrame([(i, t, v) for i, t in enumerate(texts) for v in ("1.0", "2.0")], "i int, t string, contract_version string").select("i", F.parse_json("t").alias("raw_record"), F.lit(contracts.CUSTOMERS.contract_id).cast("long").alias("contract_id"), "contract_version")
+    rules = validation.rule_table(spark, (contracts.CUSTOMERS, strict))
+    got = {(r.i, r.contract_version): (r.validation_errors, r.validation_status) for r in validation.validate_by_rules(work, rules).collect()}
+    want = {(r.i, c.contract_version): (r.validation_errors, r.validation_status) for c in (contracts.CUSTOMERS, strict) for r in validation.validate(work.where(F.col("contract_version") == c.contract_version), c).collect()}
+    assert got == want and len(got) == 8
+    with pytest.raises(Exception, match="no contract"):
+        validation.validate_by_rules(work, rules.where("contract_version = '1.0'")).collect()
