@@ -88,7 +88,7 @@ def canonical_lines(text: Column) -> Column:
     for spelling, common in SPELLINGS:
         other = F.regexp_replace(other, rf"\b{spelling}\b", common)
     out = F.when(out.rlike(rf"\b({'|'.join(a for a, _ in SPELLINGS)})\b"), other).otherwise(out)
-    return F.regexp_replace(out, " *\n *", "\n")
+    return F.replace(F.replace(out, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
 
 
 def digest(text: Column) -> Column:
@@ -97,7 +97,7 @@ def digest(text: Column) -> Column:
 
 def blocks_of(lines: Column) -> Column:
     """The blocks of canonical lines, which lines without words divide, each as one text."""
-    return F.filter(F.transform(F.split(lines, "\n\n+"), lambda b: F.trim(F.translate(b, "\n", " "))), lambda b: b != "")
+    return F.filter(F.transform(F.split(lines, "\n\n+"), lambda b: F.trim(F.replace(b, F.lit("\n"), F.lit(" ")))), lambda b: b != "")
 
 
 def headless(blocks: Column) -> Column:
