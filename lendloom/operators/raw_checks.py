@@ -1,4 +1,4 @@
-"""Quality checks of a raw batch: all of them from one scan, then unpivoted to a row each."""
+"""Quality checks of a raw batch: conditions from one scan, each repeated key from a scan of its own column, a row each."""
 
 from __future__ import annotations
 
@@ -64,10 +64,11 @@ def raw_checks(raw: DataFrame, expected_rows: int, key: str, missing: Column, in
     tested = raw.select("ingestion_record_id", "record_hash", value(key).alias("_key"), F.coalesce(missing, F.lit(False)).alias("_missing"), _any([F.col(c).isNull() for c in AUDIT]).alias("_empty"), *(F.coalesce(c, F.lit(False)).alias(f"_{n}") for n, c in invalid.items()))
     flat = tested.agg(F.count("*").alias("ROW_COUNT"), F.count_if("_empty").alias("NULL_MANDATORY_AUDIT_COLUMNS"), F.count_if(F.col("record_hash").isNull()).alias("NULL_RECORD_HASH"), F.count_if("_missing").alias("MISSING_BUSINESS_FIELDS"), *(F.count_if(f"_{n}").alias(n) for n in invalid))
     repeated = {"DUPLICATE_INGESTION_RECORD_ID": "ingestion_record_id", "DUPLICATE_RECORD_HASH": "record_hash", f"DUPLICATE_{key.upper()}": "_key"}
-    values = tested.select(F.explode(F.array(*(F.struct(F.lit(n).alias("check_name"), F.col(c).cast("string").alias("v")) for n, c in repeated.items()))).alias("x")).select("x.*")
-    counted = values.where("v is not null or check_name <> 'DUPLICATE_RECORD_HASH'").groupBy("check_name", "v").agg(F.count("*").alias("n")).groupBy("check_name").agg(F.count_if(F.col("n") > 1).alias("actual_value"))
-    names = raw.sparkSession.createDataFrame([(n,) for n in repeated], "check_name string")
-    counted = names.join(counted, "check_name", "left").select("check_name", F.coalesce("actual_value", F.lit(0)).alias("actual_value"))
+    counted = None
+    for name, column in repeated.items():  # each by itself, so that only counts by value are shuffled
+        held = tested.where(F.col(column).isNotNull()) if column == "record_hash" else tested
+        own = held.groupBy(column).agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("actual_value")).select(F.lit(name).alias("check_name"), "actual_value")
+        counted = own if counted is None else counted.unionByName(own)
     rows = flat.select(F.explode(F.array(*(F.struct(F.lit(n).alias("check_name"), F.col(n).alias("actual_value")) for n in flat.columns))).alias("x")).select("x.*").unionByName(counted)
     expected = F.when(F.col("check_name") == "ROW_COUNT", F.lit(expected_rows)).otherwise(0).cast("long")
     rows = rows.select("check_name", expected.alias("expected_value"), "actual_value")
