@@ -27,6 +27,8 @@ RING = WIDTH * SEGMENTS
 BUCKET = 1024
 #: Shingles whose bits are counted in one go, and rows of one call of the comparison.
 STEP, ROWS = 1 << 16, 100_000
+#: One in so many buckets links its rows first, and the others then only rows that this gave different labels.
+FIRST = 16
 
 
 def shingles(text: bytes, words: int = 5) -> np.ndarray:
@@ -205,13 +207,21 @@ def _near_rows(chains: DataFrame, budgets: list[tuple[int, int]]) -> DataFrame:
     return chains.repartition("gid").sortWithinPartitions("gid").mapInArrow(near_rows, "gid long, cid long, near long")
 
 
+def _label_links(root: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    """Links (a, b), each once, of every label in a set with the least label in it; a label stands for rows known to be linked."""
+    of, least = least_of(root, np.arange(len(root))), label.copy()
+    np.minimum.at(least, of, label)
+    pairs = np.stack([label, least[of]], axis=1)
+    a, b = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0).T
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
 def _full_links(rows: DataFrame, most: float) -> DataFrame:
-    """Links (a, b) that connect the rows (gid, cid, rings) of a bucket whose whole fingerprints are near; no more than rows."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Links (a, b) between labels that connect the rows (gid, label, rings) of a bucket whose whole fingerprints are near."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_runs(batches):
-            gid, cid = table.column("gid").to_numpy(), table.column("cid").to_numpy()
+            gid = table.column("gid").to_numpy()
             rings = table.column("rings").combine_chunks().flatten().to_numpy().reshape(len(gid), -1)[:, 1:].view(np.uint64)
             root, first, apart = np.arange(len(gid)), np.arange(len(gid)), 1
             while True:
@@ -222,10 +232,9 @@ def _full_links(rows: DataFrame, most: float) -> DataFrame:
                 near = first[np.bitwise_count(rings[first] ^ rings[first + apart]).sum(axis=1, dtype=np.int64) <= most]
                 unite(root, near, near + apart)
                 apart += 1
-            own = np.flatnonzero(root != np.arange(len(root)))
-            yield pa.RecordBatch.from_arrays([pa.array(cid[own]), pa.array(cid[least_of(root, own)])], schema=schema)
+            yield _label_links(root, table.column("label").to_numpy())
 
-    return rows.repartition("gid").sortWithinPartitions("gid").mapInArrow(links, "a long, b long")
+    return rows.select("gid", "label", "rings").repartition("gid").sortWithinPartitions("gid").mapInArrow(links, "a long, b long")
 
 
 def _in_blocks(rows: DataFrame, *by: str) -> DataFrame:
@@ -252,24 +261,40 @@ def candidate_groups(classes: DataFrame, rings: int, equal: int, similarity: flo
     Pigeonring filtering: classes meet in a bucket where the first `equal` segments of a chain agree. The differences of
     longer and longer chains must stay within their share of the ring's budget, then those of whole fingerprints within
     theirs. Of a bucket only links that connect its near rows go on. A bucket of over BUCKET rows is compared with one of
-    them first; those that aren't near that one are compared with all, block by block.
+    them first; those that aren't linked to that one are compared with all, block by block.
+
+    A row of a large group of near copies is in some bucket with others of it for most rings and starts. One in FIRST
+    buckets, and the rows around the centres of large ones, are therefore linked first, and a row takes the least row it is
+    linked to as its label; the other buckets, all of whose rows are compared as well, send links between different labels only.
     """
     budgets, most = chain_budgets(ring_budget(similarity), equal), full_budget(similarity, rings)
     chains, of = _chains(classes, rings, equal), classes.select("cid", "rings")
     large = cut_lineage(chains.groupBy("gid").agg(F.count("*").alias("m")).where(F.col("m") > BUCKET).select("gid"))
     any_large = not large.isEmpty()
     near = cut_lineage(_near_rows(chains.join(large, "gid", "left_anti") if any_large else chains, budgets))
-    links = _full_links(near.join(of, "cid").select("gid", "cid", "rings"), most)
+    early = F.pmod(F.xxhash64("gid"), F.lit(FIRST)) == 0
+    links = _full_links(near.where(early).join(of.withColumn("label", F.col("cid")), "cid"), most)
     weights = near.select("cid", "near")
     if any_large:
         hot = chains.join(large, "gid").select("gid", "cid").join(of, "cid")
         centre = hot.groupBy("gid").agg(F.min_by(F.struct("cid", "rings"), F.xxhash64("cid")).alias("x"))
-        hot = cut_lineage(hot.join(centre, "gid").withColumn("main", _bits_apart(F.col("rings"), F.col("x.rings")) <= F.lit(most)))
-        starred = hot.where("main").select(F.col("cid").alias("a"), F.col("x.cid").alias("b"))
-        links = links.unionByName(starred.where("a <> b")).unionByName(_full_links(_in_blocks(hot.select("gid", "cid", "rings", "main"), "gid"), most))
+        is_near = _bits_apart(F.col("rings"), F.col("x.rings")) <= F.lit(most)
+        hot = cut_lineage(hot.join(centre, "gid").select("gid", "cid", "rings", F.col("x.cid").alias("centre"), is_near.alias("main")))
+        starred = hot.where("main").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
+        links = links.unionByName(starred.where("a <> b"))
         weights = weights.unionByName(starred.select(F.col("a").alias("cid"), F.lit(1).cast("long").alias("near")))
+    first = cut_lineage(links.distinct())
+    least = first.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("b"))
+    of = of.join(least, "cid", "left").select("cid", "rings", F.coalesce("b", "cid").alias("label"))
+    links = first.unionByName(_full_links(near.where(~early).join(of, "cid"), most))
+    if any_large:
+        hot = hot.drop("rings").join(of, "cid")
+        hot = hot.join(hot.where("cid = centre").select("gid", F.col("label").alias("central")), "gid")
+        hot = cut_lineage(hot.withColumn("main", F.expr("main or label = centre or label = central")).drop("centre", "central"))
+        links = links.unionByName(_full_links(_in_blocks(hot, "gid"), most))
     groups = cut_lineage(connected_components(links.distinct()).select(F.col("node").alias("cid"), F.col("component").alias("grp")))
-    return groups.join(weights.groupBy("cid").agg(F.sum("near").alias("near")), "cid")
+    near_rows = weights.groupBy("cid").agg(F.sum("near").alias("near"))
+    return groups.join(near_rows, "cid", "left").select("cid", "grp", F.coalesce("near", F.lit(0).cast("long")).alias("near"))
 
 
 def similar_rows(sets: list[np.ndarray], similarity: float, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
@@ -297,19 +322,18 @@ def similar_rows(sets: list[np.ndarray], similarity: float, columns: int = 4096)
 
 
 def _exact_links(similarity: float):
-    """Links (a, b) that connect the similar rows (grp, cid, s) of each grp."""
+    """Links (a, b) between labels that connect the similar rows (grp, label, s) of each grp."""
 
     def links(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("grp").combine_chunks()
-        cid, grp, sets = rows.column("cid").to_numpy(), rows.column("grp").to_numpy(), rows.column("s").combine_chunks()
+        label, grp, sets = rows.column("label").to_numpy(), rows.column("grp").to_numpy(), rows.column("s").combine_chunks()
         flat, at = sets.values.to_numpy().view(np.uint64), sets.offsets.to_numpy()
-        root, begins = np.arange(len(cid)), np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
-        for begin, end in zip(begins, np.r_[begins[1:], len(cid)], strict=True):
+        root, begins = np.arange(len(grp)), np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
+        for begin, end in zip(begins, np.r_[begins[1:], len(grp)], strict=True):
             if end - begin > 1:
                 i, j = similar_rows([flat[at[k] : at[k + 1]] for k in range(begin, end)], similarity)
                 unite(root, i + begin, j + begin)
-        own = np.flatnonzero(root != np.arange(len(root)))
-        return pa.table({"a": cid[own], "b": cid[least_of(root, own)]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        return pa.Table.from_batches([_label_links(root, label)])
 
     return links
 
@@ -336,15 +360,15 @@ def near_components(classes: DataFrame, texts: DataFrame, similarity: float, wor
     members = cut_lineage(sets.join(groups.select("cid", "grp"), "cid").join(sizes, "grp"))
     tasks = max(1, groups.count() // 256)
     small = members.where(F.col("g") <= BUCKET).withColumn("gid", F.pmod(F.xxhash64("grp"), F.lit(tasks)))
-    links = small.select("gid", "grp", "cid", "s").groupBy("gid").applyInArrow(_exact_links(similarity), "a long, b long")
+    links = small.select("gid", "grp", F.col("cid").alias("label"), "s").groupBy("gid").applyInArrow(_exact_links(similarity), "a long, b long")
     large = members.where(F.col("g") > BUCKET)
     if not large.isEmpty():
         central = large.where("cid = centre").select("grp", F.col("s").alias("sc"))
         both = F.size(F.array_intersect("s", "sc"))
         large = large.join(central, "grp").withColumn("main", both >= similarity * (F.size("s") + F.size("sc") - both) - 1e-9)
-        large = cut_lineage(large.select("grp", "cid", "centre", "s", "main"))
+        large = cut_lineage(large.select("grp", "cid", "centre", "s", "main", F.when(F.col("main"), F.col("centre")).otherwise(F.col("cid")).alias("label")))
         starred = large.where("main and cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
-        rest = _in_blocks(large.drop("centre"), "grp").groupBy("gid").applyInArrow(_exact_links(similarity), "a long, b long")
+        rest = _in_blocks(large.drop("centre"), "grp").drop("cid").groupBy("gid").applyInArrow(_exact_links(similarity), "a long, b long")
         links = links.unionByName(starred).unionByName(rest)
     return connected_components(links).withColumnRenamed("node", "cid")
 

@@ -115,3 +115,40 @@ def test_rows_without_or_with_repeated_ids_are_grouped_by_their_texts(spark):
     assert sorted(r.source for r in got if r.doc_id) == ["p", "q"]
     assert len(got) == 3 and [r.doc_id for r in got].count(None) == 1
     assert sorted(map(str, got)) == sorted(map(str, STAGE(spark, docs.repartition(3), SF).collect()))
+
+
+def hot_group(n, seed=6):
+    """n texts with 0 to 8 changed words of one of 100 words: most pairs are near, many are similar only over others."""
+    rng = random.Random(seed)
+    words = [f"h{i}" for i in range(100)]
+    return [(i, edited(rng, words, rng.randrange(9))) for i in range(n)]
+
+
+def test_rows_of_a_large_group_are_not_linked_in_every_bucket(spark, monkeypatch):
+    """What goes into the components stays in proportion to a group's rows, not to the buckets and blocks they meet in."""
+    given, plain = [], near_texts.connected_components
+
+    def counted(links):
+        given.append(links.distinct().count())
+        return plain(links)
+
+    monkeypatch.setattr(near_texts, "connected_components", counted)
+    rows = hot_group(400)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    texts = len({t for _, t in rows})
+    want = [rows[i][0] for i in kept_by_brute_force(rows)]
+    for bucket in (1024, 60):
+        given.clear()
+        monkeypatch.setattr(near_texts, "BUCKET", bucket)
+        assert sorted(r.doc_id for r in STAGE(spark, docs, SF).collect()) == want
+        assert sum(given) < 8 * texts, given
+
+
+def test_rows_that_meet_in_large_buckets_only_keep_their_links(spark, monkeypatch):
+    """Two families of equal fingerprints but for a few bits; with buckets of one row all links are found in blocks."""
+    monkeypatch.setattr(near_texts, "BUCKET", 1)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, (3, 11))
+    rows = [(i, [100, *(int(x) for x in base[i % 3] ^ (1 << (i % 40)))]) for i in range(30)]
+    got = near_texts.candidate_groups(spark.createDataFrame(rows, "cid long, rings array<long>"), 11, 2, 0.8).collect()
+    assert {r.cid: r.grp for r in got} == {i: i % 3 for i in range(30)}
