@@ -53,20 +53,18 @@ def merge_stream(staged: DataFrame, store: TableStore, table: str, keyed: curren
     The mark is the latest load time seen in earlier micro-batches. Rows that were loaded more than `days` before it, which a
     look-back in batches would miss, are ranked like all others, so they never displace a newer version nor get lost; they are
     also kept in the table's _LATE table, by epoch, where late_rows counts them.
+
+    A micro-batch isn't kept between the steps: each reads it again from the source, and of its columns what it needs.
     """
 
     def merge(rows: DataFrame, epoch: int) -> None:
-        rows.persist()
-        try:
-            if rows.isEmpty():
-                return
-            before = _mark(store, table, rows, epoch)
-            kind = dict(rows.dtypes)["load_timestamp"]
-            late = rows.where(F.col("load_timestamp") < F.lit(before).cast(kind) - F.expr(f"interval {days} days")) if before else rows.limit(0)
-            store.write_batch(late_table(table), late, str(epoch), by=EPOCH)
-            store.merge(table, current_state.delta(rows, store.read(table), keyed, days=None), keyed.key)
-        finally:
-            rows.unpersist()
+        if rows.isEmpty():
+            return
+        before = _mark(store, table, rows, epoch)
+        kind = dict(rows.dtypes)["load_timestamp"]
+        late = rows.where(F.col("load_timestamp") < F.lit(before).cast(kind) - F.expr(f"interval {days} days")) if before else rows.limit(0)
+        store.write_batch(late_table(table), late, str(epoch), by=EPOCH)
+        store.merge(table, current_state.delta(rows, store.read(table), keyed, days=None), keyed.key)
 
     return _started(staged, merge, checkpoint)
 
