@@ -67,13 +67,16 @@ def stored_hash_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _late_stream(spark: SparkSession, sf_dir: str) -> TableStore:
-    """Payments as a stream in three arrivals: those before the cut, those from it on, and those held back."""
+    """Payments as a stream in three arrivals: those before the cut, those from it on, and those held back.
+
+    What lands are the shipments; their records are made as they are read.
+    """
     root = scratch_folder(spark, "late")
-    store, versions = TableStore(spark, f"{root}/lake"), catalogue.payment_versions(spark, sf_dir)
-    held_back, early = F.col("application_id").cast("long") % HELD_BACK == 0, F.col("load_timestamp") < F.lit(catalogue.CUT_DAY).cast("timestamp_ntz")
+    store, shipments = TableStore(spark, f"{root}/lake"), catalogue.table(spark, sf_dir, "lineitem")
+    held_back, early = F.col("l_orderkey") % HELD_BACK == 0, F.col("l_shipdate") < F.lit(catalogue.CUT_DAY).cast("timestamp_ntz")
     for part in (~held_back & early, ~held_back & ~early, held_back):
-        versions.where(part).write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(versions.schema).parquet(f"{root}/in")
+        shipments.where(part).write.mode("append").parquet(f"{root}/in")
+        stream = catalogue.payment_records(spark.readStream.schema(shipments.schema).parquet(f"{root}/in"))
         arrivals.merge_stream(stream, store, "SILVER.PAYMENTS", current_state.PAYMENTS, f"{root}/check").awaitTermination()
     return store
 
